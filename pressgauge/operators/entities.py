@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pressgauge.functions.binding import let
 from pressgauge.functions.text import clean_whitespace
 from pressgauge.operators.chunks import explode_chunks, word_chunks
 from pressgauge.operators.skew import salted_join
@@ -51,13 +52,15 @@ def _spans(chunk: Column, rule: Rule) -> Column:
         )
         return F.struct(end.alias("at"), F.concat(acc["found"], F.array(hit)).alias("found"))
 
-    pairs = F.zip_with(
-        hits,
-        F.slice(gaps, F.lit(1), F.size(hits)),
-        lambda h, g: F.struct(h.alias("hit"), g.alias("gap")),
-    )
+    def pairs(found: Column) -> Column:
+        return F.zip_with(
+            found,
+            F.slice(gaps, F.lit(1), F.size(found)),
+            lambda h, g: F.struct(h.alias("hit"), g.alias("gap")),
+        )
+
     return F.aggregate(
-        pairs,
+        let(hits, pairs),
         F.struct(F.lit(0).alias("at"), empty.alias("found")),
         step,
         lambda acc: acc["found"],
@@ -108,20 +111,22 @@ def gazetteer_entities(
     cleaned = df.select(*keep, clean_whitespace(F.col(text)).alias("_text"))
     chunks = explode_chunks(cleaned, chunker(F.col("_text")), *keep)
     tokens = F.array_remove(F.split("chunk", r"[^\p{L}\p{N}_]+"), "")
-    runs = F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), F.lit(max_words)),
-            lambda n: F.transform(
-                F.col("_tokens"),
-                lambda t, i: F.when(
-                    i + n <= F.size("_tokens"), F.array_join(F.slice("_tokens", i + 1, n), " ")
+
+    def runs(found: Column) -> Column:
+        return F.flatten(
+            F.transform(
+                F.sequence(F.lit(1), F.lit(max_words)),
+                lambda n: F.transform(
+                    found,
+                    lambda t, i: F.when(
+                        i + n <= F.size(found), F.array_join(F.slice(found, i + 1, n), " ")
+                    ),
                 ),
-            ),
+            )
         )
-    )
-    phrases = (
-        chunks.withColumn("_tokens", tokens)
-        .select(*keep, "chunk_id", F.explode(F.array_compact(runs)).alias("word"))
+
+    phrases = chunks.select(
+        *keep, "chunk_id", F.explode(F.array_compact(let(tokens, runs))).alias("word")
     )
     return salted_join(phrases, gazetteer, "word", "inner", [*keep, "chunk_id"]).select(
         *keep, "chunk_id", "entity_group", "score", "word"
