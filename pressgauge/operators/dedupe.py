@@ -33,11 +33,12 @@ def consolidate_news(news: DataFrame, row_id: str = "index") -> DataFrame:
 def consolidate_entities(ner: DataFrame) -> DataFrame:
     """Punctuation cleaned, blanks dropped, one row per (article, word).
 
-    The highest score wins, then the smallest start, then the group name.
+    The highest score wins, then the smallest start, the group name, the earliest chunk.
     """
     cleaned = ner.withColumn("word", clean_entity(F.col("word"))).filter(F.col("word") != "")
     others = [c for c in ner.columns if c not in ("index", "word")]
-    rank = F.struct(-F.col("score"), "start", "entity_group")
+    place = [c for c in ("start", "entity_group", "chunk_id") if c in others]
+    rank = F.struct(-F.col("score"), *place)
     best = cleaned.groupBy("index", "word").agg(F.min_by(F.struct(*others), rank).alias("_b"))
     return best.select("index", "word", "_b.*").select(*ner.columns)
 

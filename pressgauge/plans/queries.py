@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -583,12 +584,27 @@ def ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_dir(spark, "ingest")
     folder, topic = f"{base}/landing", "news"
     store_ = store.ArticleStore(spark, f"{base}/store")
-    settings = Settings(b.KEYWORDS, b.vectors(spark, sf), b.DIM, b.STOP_WORDS)
+    settings = Settings(
+        b.KEYWORDS,
+        b.vectors(spark, sf),
+        b.DIM,
+        b.STOP_WORDS,
+        summarize=partial(summarize.extractive_summary, stop_words=b.STOP_WORDS),
+    )
     landings = ((b.labelled(spark, sf), "2023-10-01_0600"), (b.news(spark, sf), "2023-10-02_0600"))
     for articles, stamp in landings:
         path = f"{folder}/{landing.landing_name(topic, stamp)}"
         _raw_news(articles).write.options(header=True, quote='"', escape='"').csv(path)
-        ingest(spark, folder, topic, store_, settings, f"{base}/checkpoint", files_per_batch=10_000, stop_on_error=True)
+        ingest(
+            spark,
+            folder,
+            topic,
+            store_,
+            settings,
+            f"{base}/checkpoint",
+            files_per_batch=10_000,
+            stop_on_error=True,
+        )
     counts = store_.entities().groupBy("index").agg(F.count(F.lit(1)).alias("n_entities"))
     return (
         store_.live_news()
