@@ -37,8 +37,6 @@ def _spans(chunk: Column, rule: Rule) -> Column:
     The gaps between the hits and the hits themselves alternate; a running length over
     both gives the offsets. A chunk is short, so the growing array stays small.
     """
-    hits = F.regexp_extract_all(chunk, F.lit(rule.pattern), F.lit(0))
-    gaps = F.split(chunk, rule.pattern, -1)
     empty = F.array().cast("array<struct<entity_group:string,word:string,start:int,end:int>>")
 
     def step(acc: Column, pair: Column) -> Column:
@@ -52,19 +50,18 @@ def _spans(chunk: Column, rule: Rule) -> Column:
         )
         return F.struct(end.alias("at"), F.concat(acc["found"], F.array(hit)).alias("found"))
 
-    def pairs(found: Column) -> Column:
-        return F.zip_with(
-            found,
-            F.slice(gaps, F.lit(1), F.size(found)),
+    def place(hits: Column) -> Column:
+        gaps = F.split(chunk, rule.pattern, -1)
+        pairs = F.zip_with(
+            hits,
+            F.slice(gaps, F.lit(1), F.size(hits)),
             lambda h, g: F.struct(h.alias("hit"), g.alias("gap")),
         )
+        start = F.struct(F.lit(0).alias("at"), empty.alias("found"))
+        spans = F.aggregate(pairs, start, step, lambda acc: acc["found"])
+        return F.when(F.size(hits) > 0, spans).otherwise(empty)
 
-    return F.aggregate(
-        let(hits, pairs),
-        F.struct(F.lit(0).alias("at"), empty.alias("found")),
-        step,
-        lambda acc: acc["found"],
-    )
+    return let(F.regexp_extract_all(chunk, F.lit(rule.pattern), F.lit(0)), place)
 
 
 def rule_entities(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pressgauge.functions.text import clean_whitespace, content_hash, words
 from pressgauge.operators.entities import rule_entities
+from pressgauge.sources.tables import read_table
 
 # Fixed values of the binding.
 KEYWORDS = ("mente", "thing", "nicht", "ément", "ertion", "ciónas", "erung", "étion")
@@ -23,7 +24,7 @@ THRESHOLD = 0.45
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:

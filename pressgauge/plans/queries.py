@@ -26,7 +26,7 @@ from pressgauge.operators import (
 from pressgauge.plans import bindings as b
 from pressgauge.plans.extract import page_candidates
 from pressgauge.plans.transform import Settings
-from pressgauge.session import scratch_dir
+from pressgauge.session import cut_lineage, scratch_dir
 from pressgauge.sources import landing, store
 from pressgauge.streaming.ingest import ingest
 
@@ -586,7 +586,7 @@ def ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
     store_ = store.ArticleStore(spark, f"{base}/store")
     settings = Settings(
         b.KEYWORDS,
-        b.vectors(spark, sf),
+        cut_lineage(b.vectors(spark, sf), "vectors"),
         b.DIM,
         b.STOP_WORDS,
         summarize=partial(summarize.extractive_summary, stop_words=b.STOP_WORDS),

@@ -1,0 +1,29 @@
+"""Parquet tables; small files are spread over the cores before costly text work."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+MIN_SLICE_BYTES = 256 << 10
+
+
+def table_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file or folder, from the file system's own summary."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getContentSummary(where).getLength()
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Read a table; one too small to give every core a split is redistributed.
+
+    A Parquet file with a single row group is one task however many cores wait. Tables
+    beyond ``maxPartitionBytes`` per core already split well and are left alone, so no
+    large table is shuffled here.
+    """
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = table_bytes(spark, path)
+    slices = min(cores, size // MIN_SLICE_BYTES)
+    return df.repartition(slices) if slices > 1 and size < split * cores else df
