@@ -61,6 +61,11 @@ def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vector_limit(spark: SparkSession, sf_dir: str) -> int:
+    """Vectors read at most: the usual limit or, if smaller, all there are (footer count)."""
+    return min(VECTOR_LIMIT, spark.read.parquet(f"{sf_dir}/embeddings.parquet").count())
+
+
 def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(rank, word): words of four letters or more, most frequent first."""
     counted = (
@@ -70,7 +75,7 @@ def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("n"))
         .orderBy(F.desc("n"), "word")
-        .limit(VECTOR_LIMIT)
+        .limit(vector_limit(spark, sf_dir))
     )
     # The window sees at most VECTOR_LIMIT rows.
     rank = F.row_number().over(Window.orderBy(F.desc("n"), "word")) - 1

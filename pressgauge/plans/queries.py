@@ -250,7 +250,7 @@ def vocabulary_similarity(spark: SparkSession, sf: str) -> DataFrame:
 def _scores(spark: SparkSession, sf: str, keywords=b.KEYWORDS) -> DataFrame:
     docs = b.table(spark, sf, "documents")
     return relevance.topic_similarity(
-        docs, "doc_id", "text", keywords, b.vectors(spark, sf), b.STOP_WORDS, b.VECTOR_LIMIT
+        docs, "doc_id", "text", keywords, b.vectors(spark, sf), b.STOP_WORDS, b.vector_limit(spark, sf)
     )
 
 
@@ -283,7 +283,7 @@ def relevance_split(spark: SparkSession, sf: str) -> DataFrame:
 def best_keyword(spark: SparkSession, sf: str) -> DataFrame:
     docs = b.table(spark, sf, "documents")
     return relevance.best_keyword(
-        docs, "doc_id", "text", b.KEYWORDS, b.vectors(spark, sf), 0.3, stop_words=b.STOP_WORDS
+        docs, "doc_id", "text", b.KEYWORDS, b.vectors(spark, sf), 0.3, stop_words=b.STOP_WORDS, vector_limit=b.vector_limit(spark, sf)
     )
 
 
@@ -510,7 +510,7 @@ def extractive_summary(spark: SparkSession, sf: str) -> DataFrame:
 def doc_embedding(spark: SparkSession, sf: str) -> DataFrame:
     docs = b.table(spark, sf, "documents")
     vecs = embed.mean_word_vector(
-        docs, "doc_id", "text", b.vectors(spark, sf), b.DIM, b.STOP_WORDS, b.VECTOR_LIMIT
+        docs, "doc_id", "text", b.vectors(spark, sf), b.DIM, b.STOP_WORDS, b.vector_limit(spark, sf)
     )
     return vecs.select("doc_id", F.posexplode("embeddings").alias("dim", "value")).select(
         "doc_id", "dim", F.round(F.col("value").cast("double"), 3).alias("value")
@@ -524,7 +524,9 @@ def embedding_backfill(spark: SparkSession, sf: str) -> DataFrame:
         text.concat_or_null(*[F.col(c) for c in ("state", "city", "title", "summary_llm")]),
     )
     embedded = b.table(spark, sf, "embeddings").select((F.col("vec_id") + 1).alias("index"))
-    rows = embed.backfill(articles, embedded, b.vectors(spark, sf), b.DIM)
+    rows = embed.backfill(
+        articles, embedded, b.vectors(spark, sf), b.DIM, vector_limit=b.vector_limit(spark, sf)
+    )
     return rows.select("index", F.posexplode("embeddings").alias("dim", "value")).select(
         "index", "dim", F.round(F.col("value").cast("double"), 3).alias("value")
     )

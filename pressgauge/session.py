@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def local_session(cpus: str | int = "*", memory: str = "8g", partitions: int = 8) -> SparkSession:
+def local_session(
+    cpus: str | int = "*", memory: str = "8g", partitions: int = 8, **settings: str
+) -> SparkSession:
     """Session for tests and the local bench; a cluster brings its own."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("pressgauge")
         .config("spark.driver.memory", memory)
@@ -20,27 +22,35 @@ def local_session(cpus: str | int = "*", memory: str = "8g", partitions: int = 8
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
-        .getOrCreate()
     )
+    for name, value in settings.items():
+        builder = builder.config(name, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder, which is then
-    set for the rest of the session. On a cluster a missing setting is an error,
-    because a machine-local folder dies with its executor.
+    Only a local session without that setting gets a temporary folder, one per
+    application. On a cluster a missing setting is an error, because a machine-local
+    folder dies with its executor.
     """
-    configured = spark.conf.get(CHECKPOINT_CONF, None)
+    configured = spark.sparkContext.getConf().get(CHECKPOINT_CONF) or spark.conf.get(
+        CHECKPOINT_CONF, None
+    )
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"{CHECKPOINT_CONF} must name a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="pressgauge-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="pressgauge-")
+    return _local_dirs[app]
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
