@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 ACCENTED = "áéíóúüñÁÉÍÓÚÜÑ"
 UNACCENTED = "aeiouunAEIOUUN"
 URL_SCHEME = r"https?://"
-# Java's \W is ASCII-only and would cut accented words, hence the Unicode classes.
-TOKEN_BREAK = r"(?:[^\p{L}\p{N}]|[0-9])+"
+# Java's \W is ASCII-only and would cut accented words, hence the Unicode classes. One
+# character class, not an alternation: Java recurses on the latter in long separators.
+TOKEN_BREAK = r"[[^\p{L}\p{N}]0-9]+"
 
 
 def spanish_stop_words() -> list[str]:
@@ -144,4 +145,4 @@ def contains_any(c: Column, terms: Sequence[str]) -> Column:
 
 def word_count(c: Column) -> Column:
     """Blank-separated words."""
-    return F.size(F.array_remove(F.split(strip_space(c), r"\s+"), "")).cast("bigint")
+    return F.size(F.array_remove(F.split(c, r"\s+"), "")).cast("bigint")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pressgauge.functions.text import clean_entity
-from pressgauge.operators.skew import salted_join
+from pressgauge.operators.skew import counted_join, salted_join
 
 
 def keep_first(df: DataFrame, key: str, row_id: str) -> DataFrame:
@@ -43,10 +43,10 @@ def consolidate_entities(ner: DataFrame) -> DataFrame:
     return best.select("index", "word", "_b.*").select(*ner.columns)
 
 
-def duplicate_flag(df: DataFrame, key: str, row_id: str) -> DataFrame:
+def duplicate_flag(df: DataFrame, key: str) -> DataFrame:
     """Add ``copies`` (rows with the same key) and ``duplicated``."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
-    flagged = salted_join(df, counts, key, "left", [row_id])
+    flagged = counted_join(df, counts, key, "copies")
     return flagged.withColumn("duplicated", F.col("copies") > 1)
 
 

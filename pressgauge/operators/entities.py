@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pressgauge.functions.binding import let
 from pressgauge.functions.text import clean_whitespace
@@ -14,6 +16,17 @@ from pressgauge.operators.chunks import explode_chunks, word_chunks
 from pressgauge.operators.skew import salted_join
 
 GROUPS = ("MISC", "LOC", "ORG", "PER")
+HIT_NAMES = ("entity_group", "score", "word", "start", "end")
+HIT = T.StructType(
+    [
+        T.StructField("entity_group", T.StringType()),
+        T.StructField("score", T.DoubleType()),
+        T.StructField("word", T.StringType()),
+        T.StructField("start", T.IntegerType()),
+        T.StructField("end", T.IntegerType()),
+        T.StructField("doc_start", T.LongType()),
+    ]
+)
 
 
 @dataclass(frozen=True)
@@ -92,6 +105,38 @@ def rule_entities(
     )
 
 
+def model_entities(
+    df: DataFrame,
+    text: str,
+    load: Callable[[], Callable[[list[str]], list[list[dict]]]],
+    keep: Sequence[str] = ("index",),
+    chunker: Callable[[Column], Column] = word_chunks,
+) -> DataFrame:
+    """Entities from any recogniser, with the columns of ``rule_entities``.
+
+    ``load`` runs once per task and returns a function from a list of chunks to a list of
+    hits per chunk, each with entity_group, score, word, start and end.
+    """
+    cleaned = df.select(*keep, clean_whitespace(F.col(text)).alias("_text"))
+    chunks = explode_chunks(cleaned, chunker(F.col("_text")), *keep)
+    kept = chunks.select(*keep, "chunk_id").schema
+    fields = [*kept.fields, *HIT.fields]
+
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        recognise = load()
+        for batch in batches:
+            found = recognise(batch["chunk"].tolist())
+            rows = [
+                (*batch.iloc[i][[*keep, "chunk_id"]], *(hit[n] for n in HIT_NAMES),
+                 int(batch["chunk_start"].iloc[i]) - 1 + hit["start"])
+                for i, hits in enumerate(found)
+                for hit in hits
+            ]
+            yield pd.DataFrame(rows, columns=[f.name for f in fields])
+
+    return chunks.mapInPandas(find, T.StructType(fields))
+
+
 def gazetteer_entities(
     df: DataFrame,
     text: str,

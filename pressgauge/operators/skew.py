@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 BROADCAST_LIMIT_BYTES = 64 << 20
 SALTS = 16
+MAX_HOT_KEYS = 100_000
 
 
 def salted_join(
@@ -47,3 +48,23 @@ def lookup_join(
     if max_rows * row_bytes <= BROADCAST_LIMIT_BYTES:
         return big.join(F.broadcast(lookup), key, how)
     return salted_join(big, lookup, key, how, salt_on)
+
+
+def counted_join(
+    big: DataFrame, counts: DataFrame, key: str, count: str, max_hot: int = MAX_HOT_KEYS
+) -> DataFrame:
+    """Give every row of ``big`` the columns of its key in ``counts``; nulls are one key.
+
+    ``counts`` holds each key of ``big`` once with its number of rows. Keys with more than
+    one ``max_hot``-th of all rows are hot; there cannot be more than ``max_hot`` of them,
+    so they are broadcast and their rows stay where they are. The other rows are
+    shuffled, and none of their keys is large enough to burden one task.
+    """
+    share = counts.agg((F.sum(count) / F.lit(max_hot)).alias("share")).scalar()
+    marked = counts.withColumnRenamed(key, "_key").withColumn("_share", share)
+    hot = marked.filter(F.col(count) > F.col("_share")).drop("_share")
+    cold = marked.filter(F.col(count) <= F.col("_share")).drop("_share")
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    near = big.join(F.broadcast(hot), same, "inner")
+    far = big.join(F.broadcast(hot.select("_key")), same, "left_anti").join(cold, same, "inner")
+    return near.unionByName(far).drop("_key")

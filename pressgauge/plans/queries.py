@@ -152,7 +152,7 @@ def consolidate_news(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def duplicate_flag(spark: SparkSession, sf: str) -> DataFrame:
     articles = b.news(spark, sf).select("index", "content_hash")
-    return dedupe.duplicate_flag(articles, "content_hash", "index")
+    return dedupe.duplicate_flag(articles, "content_hash")
 
 
 @query

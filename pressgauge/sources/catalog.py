@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pressgauge import schemas
+from pressgauge.operators.skew import salted_join
 
 
 def load_keywords(spark: SparkSession, path: str, topic: str = "narcotráfico") -> DataFrame:
@@ -35,9 +36,16 @@ def load_portals(
 
 
 def with_portal_place(articles: DataFrame, portals: DataFrame, url: str = "url") -> DataFrame:
-    """State and city of the portal on each article."""
-    place = portals.select(F.col("newsportalurl").alias(url), "state", "city").dropDuplicates([url])
-    return articles.join(place, url, "left")
+    """State and city of the portal on each article; a portal may own many of them.
+
+    A URL listed more than once takes its first place by name.
+    """
+    place = portals.groupBy(F.col("newsportalurl").alias(url)).agg(
+        F.min(F.struct("state", "city")).alias("_p")
+    )
+    others = [c for c in articles.columns if c != url]
+    placed = salted_join(articles, place, url, "left", others)
+    return placed.select("*", "_p.state", "_p.city").drop("_p")
 
 
 def load_word_vectors(spark: SparkSession, path: str, limit: int = 200_000) -> DataFrame:

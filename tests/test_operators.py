@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pressgauge.operators import chunks, clean, dedupe, embed, entities, ids, report, summarize
-from pressgauge.operators.skew import salted_join
+from pressgauge.operators.skew import counted_join, salted_join
 
 
 def rows(df, *columns):
@@ -19,7 +19,7 @@ def test_hot_key_survives_every_duplicate_operator(spark):
     )
     assert dedupe.keep_first(df, "k", "id").count() == 2001
     assert dedupe.unduplicated(df, "k", "id").count() == 2000
-    flagged = dedupe.duplicate_flag(df, "k", "id")
+    flagged = dedupe.duplicate_flag(df, "k")
     assert flagged.count() == 3000
     assert flagged.filter("copies = 1000 and duplicated").count() == 1000
     store = spark.createDataFrame([("hot",), ("1",)], "k string")
@@ -33,6 +33,17 @@ def test_remove_known_keeps_copies_inside_the_batch(spark):
     assert dedupe.remove_known(batch, store.limit(0)).count() == 3
 
 
+def test_counted_join_near_and_far_rows(spark):
+    df = spark.range(4000).select(
+        "id", F.when(F.col("id") % 4 == 0, None).when(F.col("id") % 4 == 1, "hot")
+        .otherwise(F.col("id").cast("string")).alias("k"))
+    counts = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    got = counted_join(df, counts, "k", "n", max_hot=100)
+    assert got.count() == 4000
+    assert rows(got.groupBy("n").count(), "n", "count") == [(1, 2000), (1000, 2000)]
+    assert got.filter("k is null and n = 1000").count() == 1000
+
+
 def test_salted_join_kinds(spark):
     big = spark.createDataFrame([(i, "a" if i < 8 else "b") for i in range(10)], "i int, k string")
     lookup = spark.createDataFrame([("a", 1)], "k string, v int")
@@ -242,3 +253,45 @@ def test_entity_table(spark):
     )
     assert sorted(map(tuple, report.entity_table(ner).collect())) == [
         (1, "a; b", "x", None, None), (2, None, None, "o", None)]
+
+
+def test_model_entities_hook(spark):
+    # local functions travel to the workers by value
+    def load():
+        def recognise(texts):
+            found = []
+            for t in texts:
+                at = t.find("ANSES")
+                hit = {"entity_group": "ORG", "score": 1.0, "word": "ANSES", "start": at, "end": at + 5}
+                found.append([hit] if at >= 0 else [])
+            return found
+
+        return recognise
+
+    text = "relleno " * 60 + "ANSES fin"
+    df = spark.createDataFrame([(1, text), (2, "nada")], "index bigint, content string")
+    got = entities.model_entities(df, "content", load).collect()
+    assert [(r["index"], r["chunk_id"], r["word"]) for r in got] == [(1, 1, "ANSES")]
+    assert text[got[0]["doc_start"] :].startswith("ANSES")
+    same = entities.rule_entities(df, "content").filter("word = 'ANSES'")
+    assert rows(same, "doc_start", "start", "end") == rows(
+        entities.model_entities(df, "content", load), "doc_start", "start", "end")
+
+
+def test_model_vectors_hook(spark):
+    def load():
+        import numpy as np
+
+        return lambda texts: np.array([[len(t), 1.0] for t in texts], dtype="float32")
+
+    df = spark.createDataFrame([(1, "abc"), (2, None)], "index bigint, t string")
+    got = {r["index"]: r["embeddings"] for r in embed.model_vectors(df, "index", "t", load).collect()}
+    assert got == {1: [3.0, 1.0], 2: None}
+
+
+def test_long_separator_runs(spark):
+    from pressgauge.functions.text import clean_whitespace, word_count, words
+
+    df = spark.createDataFrame([("a" + " -" * 200_000 + "b",)], "t string")
+    got = df.select(words(F.col("t")).alias("w"), word_count(F.col("t")).alias("n"), clean_whitespace(F.col("t")).alias("c")).first()
+    assert got["w"] == ["a", "b"] and got["n"] == 200_001 and len(got["c"]) == 400_002
