@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pressgauge.functions.text import clean_entity
-from pressgauge.operators.skew import counted_join, salted_join
+from pressgauge.operators.skew import counted_join, skewed_join
 
 
 def keep_first(df: DataFrame, key: str, row_id: str) -> DataFrame:
@@ -64,11 +64,8 @@ def unduplicated(df: DataFrame, key: str, row_id: str) -> DataFrame:
 def remove_known(batch: DataFrame, store: DataFrame, key: str = "content_hash") -> DataFrame:
     """Rows of the batch whose key the store does not hold yet.
 
-    Both key sets are made distinct before they meet; the batch rows then only face the
-    keys found on both sides, spread over salts in case one of them is very frequent.
+    The key sets of both sides shrink to one row per key before they meet; of the batch
+    rows, those of very frequent keys are decided without a shuffle.
     """
-    known = (
-        batch.select(key).distinct().join(store.select(key).distinct(), key, "left_semi")
-    )
-    others = [c for c in batch.columns if c != key]
-    return salted_join(batch, known, key, "left_anti", others).select(*batch.columns)
+    known = store.select(key).distinct()
+    return skewed_join(batch, known, key, "left_anti").select(*batch.columns)

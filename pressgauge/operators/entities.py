@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pressgauge.functions.binding import let
 from pressgauge.functions.text import clean_whitespace
 from pressgauge.operators.chunks import explode_chunks, word_chunks
-from pressgauge.operators.skew import salted_join
+from pressgauge.operators.skew import skewed_join
 
 GROUPS = ("MISC", "LOC", "ORG", "PER")
 HIT_NAMES = ("entity_group", "score", "word", "start", "end")
@@ -170,6 +170,6 @@ def gazetteer_entities(
     phrases = chunks.select(
         *keep, "chunk_id", F.explode(F.array_compact(let(tokens, runs))).alias("word")
     )
-    return salted_join(phrases, gazetteer, "word", "inner", [*keep, "chunk_id"]).select(
+    return skewed_join(phrases, gazetteer, "word", "inner").select(
         *keep, "chunk_id", "entity_group", "score", "word"
     )

@@ -1,70 +1,74 @@
-"""Joins that stay even when one key holds a large share of the rows."""
+"""Joins that stay even when one key holds a large share of the rows.
 
-from __future__ import annotations
+Keys with more than one ``max_hot``-th of all rows are hot. There cannot be more than
+``max_hot`` of them, whatever the data, so they can be broadcast, and their rows join
+without a shuffle. No other key is large enough to burden the task it is shuffled to.
+"""
 
-from collections.abc import Sequence
+from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_LIMIT_BYTES = 64 << 20
-SALTS = 16
+BROADCAST_LIMIT_BYTES = 512 << 20
 MAX_HOT_KEYS = 100_000
 
 
-def salted_join(
-    big: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    how: str = "left",
-    salt_on: Sequence[str | Column] = (),
-    salts: int = SALTS,
+def _split_hot(
+    counts: DataFrame, key: str, count: str, max_hot: int
+) -> tuple[DataFrame, DataFrame, Column]:
+    """Hot keys, other keys (both with the key as ``_key``), and the join condition."""
+    share = counts.agg((F.sum(count) / F.lit(max_hot)).alias("share")).scalar()
+    marked = counts.withColumnRenamed(key, "_key").withColumn("_share", share)
+    hot = marked.filter(F.col(count) > F.col("_share")).drop("_share")
+    cold = marked.filter(F.col(count) <= F.col("_share")).drop("_share")
+    return hot, cold, F.col(key).eqNullSafe(F.col("_key"))
+
+
+def counted_join(
+    big: DataFrame, counts: DataFrame, key: str, count: str, max_hot: int = MAX_HOT_KEYS
 ) -> DataFrame:
-    """Equi-join of many rows per key with a narrow lookup table.
+    """Give every row of ``big`` the columns of its key in ``counts``; nulls are one key.
 
-    Rows of ``big`` spread over ``salts`` sub-keys, the lookup is repeated once per
-    sub-key, so a hot key is shared by ``salts`` tasks. ``how`` may be inner, left,
-    left_semi or left_anti. ``salt_on`` names what varies inside a key.
+    ``counts`` holds each key of ``big`` once with its number of rows.
     """
-    salt = F.pmod(F.xxhash64(*(salt_on or big.columns)), F.lit(salts)).cast("int")
-    left = big.withColumn("_salt", salt)
-    right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [key, "_salt"], how).drop("_salt")
+    hot, cold, same = _split_hot(counts, key, count, max_hot)
+    near = big.join(F.broadcast(hot), same, "inner")
+    rest = big.join(F.broadcast(hot.select("_key")), same, "left_anti")
+    return near.unionByName(rest.join(cold, same, "inner")).drop("_key")
 
 
-def lookup_join(
-    big: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    max_rows: int,
-    row_bytes: int,
-    how: str = "left",
-    salt_on: Sequence[str | Column] = (),
+def skewed_join(
+    big: DataFrame, lookup: DataFrame, key: str, how: str = "left", max_hot: int = MAX_HOT_KEYS
 ) -> DataFrame:
-    """Broadcast the lookup if ``max_rows * row_bytes`` fits, else a salted join.
+    """Join with a lookup table when the keys of ``big`` may be skewed.
 
-    ``max_rows`` must be guaranteed by the lookup's own plan (a rank filter, a limit).
+    ``how`` is inner, left, left_semi or left_anti. The rows per key are counted first,
+    which combines before its shuffle and costs one pass over the keys of ``big``; of
+    the lookup, only keys that occur take part.
     """
-    if max_rows * row_bytes <= BROADCAST_LIMIT_BYTES:
-        return big.join(F.broadcast(lookup), key, how)
-    return salted_join(big, lookup, key, how, salt_on)
+    counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    found = counts.join(lookup.withColumn("_hit", F.lit(True)), key, "left")
+    hot, cold, same = _split_hot(found, key, "_n", max_hot)
+    hit = F.col("_hit").isNotNull()
+    near = big.join(F.broadcast(hot), same, "inner")
+    rest = big.join(F.broadcast(hot.select("_key")), same, "left_anti")
+    far = rest.join(cold.filter(hit).withColumnRenamed("_key", key), key, how)
+    if how == "left_anti":
+        near = near.filter(~hit)
+    elif how != "left":
+        near = near.filter(hit)
+    columns = [c for c in far.columns if c not in ("_n", "_hit")]
+    return near.select(*columns).unionByName(far.select(*columns))
 
 
-def counted_join(
-    big: DataFrame, counts: DataFrame, key: str, count: str, max_hot: int = MAX_HOT_KEYS
+def lookup_join(
+    big: DataFrame, lookup: DataFrame, key: str, max_rows: int, row_bytes: int, how: str = "left"
 ) -> DataFrame:
-    """Give every row of ``big`` the columns of its key in ``counts``; nulls are one key.
+    """Broadcast the lookup if ``max_rows * row_bytes`` fits, else a skew-proof join.
 
-    ``counts`` holds each key of ``big`` once with its number of rows. Keys with more than
-    one ``max_hot``-th of all rows are hot; there cannot be more than ``max_hot`` of them,
-    so they are broadcast and their rows stay where they are. The other rows are
-    shuffled, and none of their keys is large enough to burden one task.
+    ``max_rows`` must be guaranteed by the lookup's own plan (a rank filter, a limit).
     """
-    share = counts.agg((F.sum(count) / F.lit(max_hot)).alias("share")).scalar()
-    marked = counts.withColumnRenamed(key, "_key").withColumn("_share", share)
-    hot = marked.filter(F.col(count) > F.col("_share")).drop("_share")
-    cold = marked.filter(F.col(count) <= F.col("_share")).drop("_share")
-    same = F.col(key).eqNullSafe(F.col("_key"))
-    near = big.join(F.broadcast(hot), same, "inner")
-    far = big.join(F.broadcast(hot.select("_key")), same, "left_anti").join(cold, same, "inner")
-    return near.unionByName(far).drop("_key")
+    if max_rows * row_bytes <= BROADCAST_LIMIT_BYTES:
+        return big.join(F.broadcast(lookup), key, how)
+    return skewed_join(big, lookup, key, how)

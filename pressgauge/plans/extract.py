@@ -18,7 +18,7 @@ from pressgauge.operators.clean import long_enough, usable
 from pressgauge.operators.dedupe import keep_first
 from pressgauge.operators.funnel import extraction_funnel
 from pressgauge.operators.relevance import DEFAULT_THRESHOLD, keyword_match, topic_similarity
-from pressgauge.operators.skew import salted_join
+from pressgauge.operators.skew import skewed_join
 from pressgauge.session import cut_lineage
 
 
@@ -81,7 +81,10 @@ def extract_articles(
         .withColumnRenamed("host", "url")
         .select(F.lit(run_stamp).alias("date_extract"), F.lit(topic).alias("topic"), "*")
     )
-    chosen = candidates.filter("match2").select("page_id", "host", "link_sim_score")
+    place = portals.groupBy("host").agg(F.min(F.struct("state", "city")).alias("_p"))
+    chosen = skewed_join(
+        candidates.filter("match2").select("page_id", "host", "link_sim_score"), place, "host"
+    ).select("page_id", "host", "link_sim_score", "_p.state", "_p.city")
     optional = {
         "date_article": F.lit(None).cast("string"),
         "authors": F.lit(None).cast("string"),
@@ -95,7 +98,6 @@ def extract_articles(
         .filter(usable("content", "url"))
         .select(
             "page_id",
-            "host",
             F.lit(run_stamp).alias("date_extract"),
             F.coalesce(optional["date_article"], F.lit(run_stamp)).alias("date_article"),
             F.lit(topic).alias("topic"),
@@ -106,13 +108,11 @@ def extract_articles(
             F.substring("content", 1, 300).alias("summary"),
             F.coalesce(optional["authors"], F.lit("n-a")).alias("authors"),
             F.col("host").alias("portal"),
+            "state",
+            "city",
             content_hash(F.col("content")).alias("content_hash"),
             char_count(F.col("content")).alias("content_nchar"),
         )
         .filter(F.substring("date_article", 1, 10) == run_stamp[:10])
     )
-    kept = keep_first(long_enough(texts), "content_hash", "page_id")
-    placed = salted_join(
-        kept, portals.select("host", "state", "city").dropDuplicates(["host"]), "host", "left", ["page_id"]
-    )
-    return stats, placed.drop("host")
+    return stats, keep_first(long_enough(texts), "content_hash", "page_id")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pressgauge import schemas
-from pressgauge.operators.skew import salted_join
+from pressgauge.operators.skew import skewed_join
 
 
 def load_keywords(spark: SparkSession, path: str, topic: str = "narcotráfico") -> DataFrame:
@@ -43,8 +43,7 @@ def with_portal_place(articles: DataFrame, portals: DataFrame, url: str = "url")
     place = portals.groupBy(F.col("newsportalurl").alias(url)).agg(
         F.min(F.struct("state", "city")).alias("_p")
     )
-    others = [c for c in articles.columns if c != url]
-    placed = salted_join(articles, place, url, "left", others)
+    placed = skewed_join(articles, place, url, "left")
     return placed.select("*", "_p.state", "_p.city").drop("_p")
 
 

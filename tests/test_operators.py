@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pressgauge.operators import chunks, clean, dedupe, embed, entities, ids, report, summarize
-from pressgauge.operators.skew import counted_join, salted_join
+from pressgauge.operators.skew import counted_join, skewed_join
 
 
 def rows(df, *columns):
@@ -44,13 +44,16 @@ def test_counted_join_near_and_far_rows(spark):
     assert got.filter("k is null and n = 1000").count() == 1000
 
 
-def test_salted_join_kinds(spark):
-    big = spark.createDataFrame([(i, "a" if i < 8 else "b") for i in range(10)], "i int, k string")
-    lookup = spark.createDataFrame([("a", 1)], "k string, v int")
-    assert salted_join(big, lookup, "k", "inner", ["i"]).count() == 8
-    assert salted_join(big, lookup, "k", "left", ["i"]).count() == 10
-    assert salted_join(big, lookup, "k", "left_semi", ["i"]).count() == 8
-    assert salted_join(big, lookup, "k", "left_anti", ["i"]).count() == 2
+def test_skewed_join_kinds_match_plain_joins(spark):
+    big = spark.range(600).select(
+        "id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, "loose")
+        .when(F.col("id") < 9, None).otherwise(F.col("id").cast("string")).alias("k"))
+    lookup = spark.createDataFrame([("hot", 1), ("11", 2), ("14", 3), ("none", 4)], "k string, v int")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        for max_hot in (1, 10, 100_000):
+            got = skewed_join(big, lookup, "k", how, max_hot)
+            want = big.join(lookup, "k", how).select(*got.columns)
+            assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
 def test_consolidate_news(spark):
