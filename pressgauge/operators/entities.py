@@ -14,6 +14,7 @@ from pressgauge.functions.binding import let
 from pressgauge.functions.text import clean_whitespace
 from pressgauge.operators.chunks import explode_chunks, word_chunks
 from pressgauge.operators.skew import skewed_join
+from pressgauge.session import cut_lineage
 
 GROUPS = ("MISC", "LOC", "ORG", "PER")
 HIT_NAMES = ("entity_group", "score", "word", "start", "end")
@@ -148,10 +149,11 @@ def gazetteer_entities(
     """Hits of a gazetteer (word, entity_group, score) on runs of up to ``max_words`` words.
 
     Runs are built per chunk and joined on the phrase, so the work grows with the text
-    and not with text times gazetteer.
+    and not with text times gazetteer. The join looks at the runs more than once, so the
+    chunks are written out first.
     """
     cleaned = df.select(*keep, clean_whitespace(F.col(text)).alias("_text"))
-    chunks = explode_chunks(cleaned, chunker(F.col("_text")), *keep)
+    chunks = cut_lineage(explode_chunks(cleaned, chunker(F.col("_text")), *keep), "chunks")
     tokens = F.array_remove(F.split("chunk", r"[^\p{L}\p{N}_]+"), "")
 
     def runs(found: Column) -> Column:
