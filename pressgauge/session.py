@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +33,26 @@ def local_session(
 
 
 _local_dirs: dict[str, str] = {}
+_shipped: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers, wherever the driver was started; once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    # Executors fetch the file from the driver when their first task starts, so it stays to the end.
+    folder = tempfile.TemporaryDirectory(prefix="pressgauge-")
+    path = os.path.join(os.path.realpath(folder.name), "pressgauge.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for where, _, names in os.walk(os.path.join(root, "pressgauge")):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(where, name)
+                    out.write(full, os.path.relpath(full, root))
+    spark.sparkContext.addPyFile(path)
+    _shipped[app] = folder
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from pressgauge.operators import topics
+from pressgauge.plans.oracle import ORACLE as SQL
+from pressgauge.plans.queries import REGISTRY as QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -40,6 +40,11 @@ def test_only_the_topic_model_has_no_sql():
     assert set(QUERIES) - set(SQL) == {"lda_topics"}
 
 
+def test_everything_is_registered():
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(SQL) <= set(contract.oracle_sql())
+
+
 def test_entry(spark):
     assert contract.entry(spark).columns[1] == "provincia"
 
