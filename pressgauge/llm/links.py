@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from pressgauge.session import cut_lineage
 
 
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Write a grouped table that is narrow or small and read it back; at most four files a core, however many shuffle partitions."""
+    return cut_lineage(df.coalesce(4 * df.sparkSession.sparkContext.defaultParallelism), label)
+
+
 def _nearest(sides: DataFrame) -> DataFrame:
     """(u, v, m): each pair with the smallest value around ``u``, ``u`` included."""
     least = sides.groupBy("u").agg(F.min("v").alias("m"))
@@ -39,12 +44,12 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     def settled(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("u"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
 
-    edges = cut_lineage(
+    edges = settle(
         links.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u != v").distinct(), "links"
     )
     mark = settled(edges)
     while mark[0]:
-        edges = cut_lineage(
+        edges = settle(
             _small_star(_large_star(edges)).filter("u != v").distinct(), "links"
         )
         before, mark = mark, settled(edges)

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressgauge.llm.links import components
+from pressgauge.llm.links import components, settle
 from pressgauge.llm.scan import utf8
 from pressgauge.session import cut_lineage
 
@@ -135,13 +135,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``component_id`` is the smallest id of its group, null if no row of the group has one.
     """
     prints = cut_lineage(fingerprints(docs, id_col, text_col), "prints")
-    distinct = cut_lineage(prints.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
+    distinct = settle(prints.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
     groups = components(near_pairs(distinct), "a", "b")
     rooted = distinct.join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp")
     )
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = cut_lineage(rooted.join(least, "root").select("fp", "component_id"), "groups")
+    named = settle(rooted.join(least, "root").select("fp", "component_id"), "groups")
     return prints.join(named, "fp").select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),

@@ -23,6 +23,7 @@ from pyspark.sql.functions import arrow_udf
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from pressgauge.llm.links import settle
 from pressgauge.llm.scan import Words, grams, pieces, sliding, utf8
 from pressgauge.session import cut_lineage
 
@@ -245,7 +246,7 @@ def repeated_spans(
         F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text")
     ).filter(F.col("id").isNotNull() & (F.octet_length("text") >= 2 * window - 1))
     anchors = cut_lineage(_anchors(narrow, window, kind), "anchors")
-    owned = cut_lineage(
+    owned = settle(
         anchors.groupBy("anchor")
         .agg(F.min("id").alias("owner"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n"))
         .filter("owner < last")
@@ -261,7 +262,7 @@ def repeated_spans(
     dealt = segments.repartition("owner", "k", "salt").sortWithinPartitions(
         "owner", "k", "salt", "kind", "id", "th", "start"
     )
-    found = cut_lineage(_matches(dealt, window, kind), "matches")
+    found = settle(_matches(dealt, window, kind), "matches")
     rest = found.filter("hash IS NOT NULL")
     first = rest.groupBy("hash").agg(F.min("id").alias("first"), F.max("id").alias("last"))
     also = rest.join(first.filter("first < last"), "hash").filter("id > first")
