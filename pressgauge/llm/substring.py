@@ -30,7 +30,7 @@ from pressgauge.session import cut_lineage
 WINDOW = 50
 #: Rows per task and automaton that an anchor should not exceed by much.
 SHARE = 512
-#: An automaton of more words is not built; its documents' windows are compared by their hashes.
+#: An automaton takes no more words; windows of the passages beyond are compared by their hashes.
 MAX_AUTOMATON_WORDS = 200_000
 
 
@@ -199,23 +199,21 @@ def _matches(segments: DataFrame, window: int, kind: str) -> DataFrame:
     names = ["id", "th", "start", "end", "hash"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, automaton, whole = None, Automaton(), True
+        shard, automaton = None, Automaton()
         for batch in batches:
             rows: list[tuple] = []
             cols = [batch.column(i).to_pylist() for i in range(8)]
             for owner, k, salt, role, key, th, start, text in zip(*cols):
                 if (owner, k, salt) != shard:
-                    shard, automaton, whole = (owner, k, salt), Automaton(), True
+                    shard, automaton = (owner, k, salt), Automaton()
                 words = text.split()
-                if role == 0:
-                    whole = whole and automaton.words + len(words) <= MAX_AUTOMATON_WORDS
-                    if whole:
-                        automaton.add(words)
+                if role == 0 and automaton.words + len(words) <= MAX_AUTOMATON_WORDS:
+                    automaton.add(words)
                     continue
                 windows = len(words) - window + 1
-                if whole:
+                if role:
                     found = np.array(automaton.statistics(words)[window - 1 :]) >= window
-                else:
+                else:  # what the automaton has no room for is compared by hash
                     found = np.zeros(windows, bool)
                 edges = np.diff(np.concatenate(([0], found.astype(np.int8), [0])))
                 for a, b in zip(np.flatnonzero(edges == 1).tolist(), np.flatnonzero(edges == -1).tolist()):
