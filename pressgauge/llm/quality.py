@@ -123,7 +123,7 @@ class Additive:
     @staticmethod
     def _edges(x: np.ndarray, bins: int) -> list[np.ndarray]:
         cuts = np.linspace(0, 1, bins + 1)[1:-1]
-        return [np.unique(np.quantile(column, cuts)) for column in x.T]
+        return [np.unique(np.quantile(column, cuts)) if len(x) else np.zeros(0) for column in x.T]
 
     def logits(self, x: np.ndarray) -> np.ndarray:
         fine, coarse = self._bins(self.edges, x), self._bins(self.coarse, x)

@@ -74,8 +74,9 @@ def _fit_link(
     n, positives = len(y), y.sum()
     has = np.bincount(index, minlength=len(kinds))
     hit = np.bincount(index, y[rows], minlength=len(kinds))
-    expected = has * positives / n
-    spread = expected * (1 - positives / n) * (1 - has / n) + 1e-9
+    share = positives / max(1, n)
+    expected = has * share
+    spread = expected * (1 - share) * (1 - has / max(1, n)) + 1e-9
     chi2 = np.where(has >= LEAST_ROWS, (hit - expected) ** 2 / spread, 0)
     order = np.argsort(-chi2, kind="stable")[:MAX_FEATURES]
     chosen = np.sort(order[chi2[order] > LEAST_CHI2])
