@@ -143,10 +143,9 @@ def gazetteer_entities(
     text: str,
     gazetteer: DataFrame,
     keep: Sequence[str] = ("index",),
-    max_words: int = 3,
     chunker: Callable[[Column], Column] = word_chunks,
 ) -> DataFrame:
-    """Hits of a gazetteer (word, entity_group, score) on runs of up to ``max_words`` words.
+    """Hits of a gazetteer (word, entity_group, score) on runs of words as long as its longest name.
 
     Runs are built per chunk and joined on the phrase, so the work grows with the text
     and not with text times gazetteer. The join looks at the runs more than once, so the
@@ -155,11 +154,14 @@ def gazetteer_entities(
     cleaned = df.select(*keep, clean_whitespace(F.col(text)).alias("_text"))
     chunks = cut_lineage(explode_chunks(cleaned, chunker(F.col("_text")), *keep), "chunks")
     tokens = F.array_remove(F.split("chunk", r"[^\p{L}\p{N}_]+"), "")
+    size = F.size(F.split(F.trim("word"), r"\s+"))
+    longest = gazetteer.agg(F.greatest(F.lit(1), F.coalesce(F.max(size), F.lit(1))).alias("n")).scalar()
+    chunks = chunks.withColumn("_longest", longest)
 
     def runs(found: Column) -> Column:
         return F.flatten(
             F.transform(
-                F.sequence(F.lit(1), F.lit(max_words)),
+                F.sequence(F.lit(1), F.col("_longest")),
                 lambda n: F.transform(
                     found,
                     lambda t, i: F.when(

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_LIMIT_BYTES = 512 << 20
 MAX_HOT_KEYS = 100_000
 
 
@@ -41,34 +40,25 @@ def counted_join(
 def skewed_join(
     big: DataFrame, lookup: DataFrame, key: str, how: str = "left", max_hot: int = MAX_HOT_KEYS
 ) -> DataFrame:
-    """Join with a lookup table when the keys of ``big`` may be skewed.
+    """Join with a lookup table when the keys of ``big`` may be skewed; the same rows as a plain join.
 
-    ``how`` is inner, left, left_semi or left_anti. The rows per key are counted first,
-    which combines before its shuffle and costs one pass over the keys of ``big``; of
-    the lookup, only keys that occur take part.
+    ``how`` is inner, left, left_semi or left_anti. The rows of ``big`` per key are counted first,
+    which combines before its shuffle and costs one pass over its keys. Rows of hot keys meet
+    their lookup row, one at most per key, by a broadcast; a hot key that the lookup repeats
+    goes with the others through the shuffle, where Spark splits large partitions.
     """
     counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    found = counts.join(lookup.withColumn("_hit", F.lit(True)), key, "left")
-    hot, cold, same = _split_hot(found, key, "_n", max_hot)
-    hit = F.col("_hit").isNotNull()
-    near = big.join(F.broadcast(hot), same, "inner")
-    rest = big.join(F.broadcast(hot.select("_key")), same, "left_anti")
-    far = rest.join(cold.filter(hit).withColumnRenamed("_key", key), key, how)
-    if how == "left_anti":
-        near = near.filter(~hit)
-    elif how != "left":
-        near = near.filter(hit)
-    columns = [c for c in far.columns if c not in ("_n", "_hit")]
-    return near.select(*columns).unionByName(far.select(*columns))
-
-
-def lookup_join(
-    big: DataFrame, lookup: DataFrame, key: str, max_rows: int, row_bytes: int, how: str = "left"
-) -> DataFrame:
-    """Broadcast the lookup if ``max_rows * row_bytes`` fits, else a skew-proof join.
-
-    ``max_rows`` must be guaranteed by the lookup's own plan (a rank filter, a limit).
-    """
-    if max_rows * row_bytes <= BROADCAST_LIMIT_BYTES:
-        return big.join(F.broadcast(lookup), key, how)
-    return skewed_join(big, lookup, key, how)
+    share = counts.agg((F.sum("_n") / F.lit(max_hot)).alias("share")).scalar()
+    hot = counts.withColumn("_share", share).filter(F.col("_n") > F.col("_share")).select(
+        F.col(key).alias("_key")
+    )
+    if how in ("left_semi", "left_anti"):
+        lookup = lookup.select(key).distinct()
+    repeated = lookup.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_times"))
+    apart = hot.join(repeated.filter(F.col("_times") > 1), "_key", "left_anti")
+    is_apart = F.col(key).eqNullSafe(F.col("_key"))
+    near = big.join(F.broadcast(apart), is_apart, "left_semi")
+    rest = big.join(F.broadcast(apart), is_apart, "left_anti")
+    found = lookup.join(F.broadcast(apart), F.col(key) == F.col("_key"), "left_semi")
+    far = rest.join(lookup, key, how)
+    return near.join(F.broadcast(found), key, how).select(*far.columns).unionByName(far)

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pressgauge.functions.text import clean_whitespace, content_hash, words
 from pressgauge.operators.entities import rule_entities
-from pressgauge.sources.tables import read_table
+from pressgauge.operators.ids import assign_ids
 
 # Fixed values of the binding.
 KEYWORDS = ("mente", "thing", "nicht", "ément", "ertion", "ciónas", "erung", "étion")
@@ -18,13 +18,12 @@ STOP_WORDS = ("the", "of", "and", "de", "la", "que", "et", "der", "die", "und",
 NATIONAL = "en"
 SUMMARY_STATES = ("de",)
 PORTAL_LABELS = {"src0": "Gendarmería"}
-VECTOR_LIMIT = 200_000
 DIM = 64
 THRESHOLD = 0.45
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir}/{name}.parquet")
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,11 +60,6 @@ def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def vector_limit(spark: SparkSession, sf_dir: str) -> int:
-    """Vectors read at most: the usual limit or, if smaller, all there are (footer count)."""
-    return min(VECTOR_LIMIT, spark.read.parquet(f"{sf_dir}/embeddings.parquet").count())
-
-
 def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(rank, word): words of four letters or more, most frequent first."""
     counted = (
@@ -73,13 +67,9 @@ def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(F.explode(words(F.col("text"))).alias("word"))
         .filter(F.length("word") > 3)
         .groupBy("word")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), "word")
-        .limit(vector_limit(spark, sf_dir))
+        .agg((-F.count(F.lit(1))).alias("_order"))
     )
-    # The window sees at most VECTOR_LIMIT rows.
-    rank = F.row_number().over(Window.orderBy(F.desc("n"), "word")) - 1
-    return counted.select(rank.cast("bigint").alias("rank"), "word")
+    return assign_ids(counted, ["_order", "word"], start=0, id_col="rank").select("rank", "word")
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

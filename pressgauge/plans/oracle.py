@@ -121,7 +121,7 @@ define(
     """
 SELECT row_number() OVER (ORDER BY n DESC, word) - 1 AS rank, word
 FROM (SELECT word, count(*) AS n FROM doc_words WHERE length(word) > 3 GROUP BY word
-      ORDER BY n DESC, word LIMIT 200000)""",
+      ORDER BY n DESC, word)""",
 )
 define(
     "vecs",
@@ -524,7 +524,7 @@ ORACLE: dict[str, str] = {
     ),
     "phrase_filter": build(
         ["news"],
-        "SELECT \"index\", link FROM news WHERE contains(content, 'http') AND NOT contains(content, 'License')",
+        "SELECT \"index\", link FROM news WHERE contains(content, 'tion') AND NOT contains(content, 'License')",
     ),
     "portal_counts": build(["news"], f'SELECT {host("link")} AS host, count(*) AS n FROM news GROUP BY 1'),
     "dedup_content": build(

@@ -124,7 +124,7 @@ def phrase_filter(spark: SparkSession, sf: str) -> DataFrame:
     content = F.col("content")
     return (
         b.news(spark, sf)
-        .filter(F.contains(content, F.lit("http")) & ~F.contains(content, F.lit("License")))
+        .filter(F.contains(content, F.lit("tion")) & ~F.contains(content, F.lit("License")))
         .select("index", "link")
     )
 
@@ -250,7 +250,7 @@ def vocabulary_similarity(spark: SparkSession, sf: str) -> DataFrame:
 def _scores(spark: SparkSession, sf: str, keywords=b.KEYWORDS) -> DataFrame:
     docs = b.table(spark, sf, "documents")
     return relevance.topic_similarity(
-        docs, "doc_id", "text", keywords, b.vectors(spark, sf), b.STOP_WORDS, b.vector_limit(spark, sf)
+        docs, "doc_id", "text", keywords, b.vectors(spark, sf), b.STOP_WORDS
     )
 
 
@@ -283,7 +283,7 @@ def relevance_split(spark: SparkSession, sf: str) -> DataFrame:
 def best_keyword(spark: SparkSession, sf: str) -> DataFrame:
     docs = b.table(spark, sf, "documents")
     return relevance.best_keyword(
-        docs, "doc_id", "text", b.KEYWORDS, b.vectors(spark, sf), 0.3, stop_words=b.STOP_WORDS, vector_limit=b.vector_limit(spark, sf)
+        docs, "doc_id", "text", b.KEYWORDS, b.vectors(spark, sf), 0.3, stop_words=b.STOP_WORDS
     )
 
 
@@ -385,7 +385,7 @@ def entities_gazetteer(spark: SparkSession, sf: str) -> DataFrame:
         .distinct()
         .select("word", F.lit("PER").alias("entity_group"), F.lit(1.0).alias("score"))
     )
-    found = entities.gazetteer_entities(b.news(spark, sf), "content", known, max_words=2)
+    found = entities.gazetteer_entities(b.news(spark, sf), "content", known)
     return found.groupBy("word", "entity_group").agg(
         F.count(F.lit(1)).alias("mentions"), F.countDistinct("index").alias("articles")
     )
@@ -510,7 +510,7 @@ def extractive_summary(spark: SparkSession, sf: str) -> DataFrame:
 def doc_embedding(spark: SparkSession, sf: str) -> DataFrame:
     docs = b.table(spark, sf, "documents")
     vecs = embed.mean_word_vector(
-        docs, "doc_id", "text", b.vectors(spark, sf), b.DIM, b.STOP_WORDS, b.vector_limit(spark, sf)
+        docs, "doc_id", "text", b.vectors(spark, sf), b.DIM, b.STOP_WORDS
     )
     return vecs.select("doc_id", F.posexplode("embeddings").alias("dim", "value")).select(
         "doc_id", "dim", F.round(F.col("value").cast("double"), 3).alias("value")
@@ -525,7 +525,7 @@ def embedding_backfill(spark: SparkSession, sf: str) -> DataFrame:
     )
     embedded = b.table(spark, sf, "embeddings").select((F.col("vec_id") + 1).alias("index"))
     rows = embed.backfill(
-        articles, embedded, b.vectors(spark, sf), b.DIM, vector_limit=b.vector_limit(spark, sf)
+        articles, embedded, b.vectors(spark, sf), b.DIM
     )
     return rows.select("index", F.posexplode("embeddings").alias("dim", "value")).select(
         "index", "dim", F.round(F.col("value").cast("double"), 3).alias("value")
@@ -549,7 +549,7 @@ def tfidf_top_terms(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def lda_topics(spark: SparkSession, sf: str) -> DataFrame:
     docs = b.table(spark, sf, "documents").select("doc_id", "text")
-    counts, vocabulary = topics.bag_of_words(docs, "text", b.STOP_WORDS, 1 << 14)
+    counts, vocabulary = topics.bag_of_words(docs, "text", b.STOP_WORDS)
     model = topics.fit_lda(counts, topics=4, iterations=5)
     return topics.topic_words(model, vocabulary, 10)
 

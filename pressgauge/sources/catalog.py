@@ -47,34 +47,38 @@ def with_portal_place(articles: DataFrame, portals: DataFrame, url: str = "url")
     return placed.select("*", "_p.state", "_p.city").drop("_p")
 
 
-def load_word_vectors(spark: SparkSession, path: str, limit: int = 200_000) -> DataFrame:
-    """(rank, word, vec) of the first ``limit`` vectors of a word2vec text file.
+def load_word_vectors(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
+    """(rank, word, vec) of the vectors of one or more word2vec text files, all or the first ``limit``.
 
-    Spark promises no order over the splits of a text file, so the rank is rebuilt:
-    rows before the split, by its byte offset, plus the row's place inside the split.
-    The header is rank -1. There is one offset row per split, which bounds the broadcast.
+    Files follow one another by name, each with its header line, which has two fields. Spark promises no
+    order over the splits of text files, so the rank is rebuilt: rows before the split, by file and
+    byte offset, plus the row's place inside the split. There is one offset row per split, which
+    bounds the broadcast.
     """
-    lines = spark.read.text(path).select(
-        "value",
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_row"),
+    lines = (
+        spark.read.text(path)
+        .select(
+            "value",
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_row"),
+        )
+        .withColumn("_vector", (F.size(F.split(F.rtrim("value"), " ")) > 2).cast("bigint"))
     )
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    # Headers stand first in their file, so the vectors of a split are its last rows.
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     splits = (
-        lines.groupBy("_block")
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+        lines.groupBy("_file", "_block")
+        .agg(F.sum("_vector").alias("_n"), F.max("_row").alias("_last"))
         .withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .select("_block", "_first", "_off")
     )
-    rank = F.col("_off") + F.col("_row") - F.col("_first") - 1
+    rank = F.col("_off") + F.col("_n") - 1 - F.col("_last") + F.col("_row")
     fields = F.split(F.rtrim(F.col("value")), " ")
-    return (
-        lines.join(F.broadcast(splits), "_block")
-        .withColumn("rank", rank)
-        .filter((F.col("rank") >= 0) & (F.col("rank") < limit))
-        .select(
-            "rank",
-            fields[0].alias("word"),
-            F.slice(fields, F.lit(2), F.size(fields) - 1).cast("array<float>").alias("vec"),
-        )
+    placed = lines.join(F.broadcast(splits), ["_file", "_block"]).withColumn("rank", rank).filter("_vector = 1")
+    if limit is not None:
+        placed = placed.filter(F.col("rank") < limit)
+    return placed.select(
+        "rank",
+        fields[0].alias("word"),
+        F.slice(fields, F.lit(2), F.size(fields) - 1).cast("array<float>").alias("vec"),
     )

@@ -48,7 +48,7 @@ def test_skewed_join_kinds_match_plain_joins(spark):
     big = spark.range(600).select(
         "id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, "loose")
         .when(F.col("id") < 9, None).otherwise(F.col("id").cast("string")).alias("k"))
-    lookup = spark.createDataFrame([("hot", 1), ("11", 2), ("14", 3), ("none", 4)], "k string, v int")
+    lookup = spark.createDataFrame([("hot", 1), ("11", 2), ("14", 3), ("none", 4), ("11", 5), ("hot", 6)], "k string, v int")
     for how in ("inner", "left", "left_semi", "left_anti"):
         for max_hot in (1, 10, 100_000):
             got = skewed_join(big, lookup, "k", how, max_hot)

@@ -208,6 +208,13 @@ def test_word_vector_ranks_over_many_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_word_vectors_of_several_files(spark, tmp_path):
+    (tmp_path / "a.vec").write_text("2 2\nx 1.0 2.0\ny 3.0 4.0\n")
+    (tmp_path / "b.vec").write_text("2 2\nz 5.0 6.0\nu 7.0 8.0\n")
+    got = catalog.load_word_vectors(spark, str(tmp_path)).orderBy("rank").collect()
+    assert [(r["rank"], r["word"]) for r in got] == [(0, "x"), (1, "y"), (2, "z"), (3, "u")]
+
+
 def test_restore_types(spark):
     df = spark.createDataFrame([("2023-08-16", None)], "date_extract string, date_article string")
     assert restore_types(df).first()["date_extract"] == dt.date(2023, 8, 16)
