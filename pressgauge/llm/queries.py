@@ -54,9 +54,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     codec = subwords.Codec.fit(docs, _tokenizer("piece_bpe_32k.model"))
-    encoded = docs.withColumn("ids", codec.encode(F.col("text")))
-    same = codec.decode(F.col("ids")) == F.translate(F.coalesce("text", F.lit("")), subwords.MARK, " ")
-    return encoded.select("doc_id", "ids", F.size("ids").cast("bigint").alias("n_tokens"), same.alias("round_trip"))
+    return codec.round_trips(docs).withColumn("n_tokens", F.size("ids").cast("bigint"))
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

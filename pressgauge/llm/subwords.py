@@ -14,8 +14,8 @@ from __future__ import annotations
 
 import heapq
 import re
-
-from dataclasses import dataclass, field
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -32,12 +32,35 @@ UNIT = f"{MARK}*[^{MARK}\\n]+|{MARK}+|\\n"
 #: Units of the corpus that Spark folds, at most, and their longest.
 FREQUENT = 1 << 15
 LONGEST_FREQUENT = 32
-#: A worker forgets the units it has folded beyond this many; longer units are not kept.
-CACHE_UNITS = 500_000
+#: A worker keeps two generations of so many units that it has folded; longer units are not kept.
+CACHE_UNITS = 200_000
 LONGEST_CACHED = 48
+#: Rows that round_trips() hands on at a time.
+BATCH_ROWS = 512
 UNKNOWN = -100.0
+_NONE = float("-inf")
 _units = re.compile(UNIT)
-_workers: dict[str, dict[str, bytes]] = {}
+_workers: dict[str, "_Cache"] = {}
+
+
+class _Cache:
+    """Folded units of one worker. When the younger generation is full it becomes the older one, so units in use stay."""
+
+    def __init__(self) -> None:
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def ids(self, unit: str, pieces: Pieces) -> bytes:
+        ids = self.young.get(unit)
+        if ids is None:
+            ids = self.old.get(unit)
+            if ids is None:
+                ids = pieces.merge(unit)
+            if len(unit) <= LONGEST_CACHED:
+                if len(self.young) >= CACHE_UNITS:
+                    self.old, self.young = self.young, {}
+                self.young[unit] = ids
+        return ids
 
 
 @dataclass
@@ -46,7 +69,8 @@ class Pieces:
 
     rows: list[tuple[str, int, float]]
     first_byte: int
-    table: dict[str, tuple[float, int]] = field(default_factory=dict)
+    scores: dict[str, float]
+    codes: dict[str, bytes]
 
     @staticmethod
     def load(path: str) -> Pieces:
@@ -61,37 +85,41 @@ class Pieces:
 
     @staticmethod
     def of(rows: list[tuple[str, int, float]], first_byte: int) -> Pieces:
-        return Pieces(rows, first_byte, {piece: (score, i) for piece, i, score in rows})
+        codes = {piece: np.array([i], np.int32).tobytes() for piece, i, _ in rows}
+        return Pieces(rows, first_byte, {piece: score for piece, _, score in rows}, codes)
 
-    def texts(self) -> dict[int, bytes]:
-        """What each id stands for, marks as spaces."""
+    def texts(self) -> np.ndarray:
+        """What each id stands for, marks as spaces; an id without a piece stands for nothing."""
         byte = {self.first_byte + b: bytes([b]) for b in range(256)}
-        return byte | {i: piece.replace(MARK, " ").encode() for piece, i, _ in self.rows}
+        known = byte | {i: piece.replace(MARK, " ").encode() for piece, i, _ in self.rows}
+        return np.array([known.get(i, b"") for i in range(max(known) + 1)], dtype=object)
 
     def merge(self, unit: str) -> bytes:
         """Ids of one unit as 32-bit integers, by joining the best neighbours; the leftmost of equals."""
-        table, n = self.table, len(unit)
+        score, code, n = self.scores.get, self.codes.get, len(unit)
         if n > 40:
             cuts = self._merge_long(unit)
         else:
             cuts = list(range(n + 1))
-            while len(cuts) > 2:
-                best, at = None, 0
-                for i in range(len(cuts) - 2):
-                    found = table.get(unit[cuts[i] : cuts[i + 2]])
-                    if found is not None and (best is None or found[0] > best):
-                        best, at = found[0], i + 1
-                if best is None:
+            # gains[i]: score of the piece that joins what begins at cuts[i] with its right neighbour
+            gains = [score(unit[i : i + 2], _NONE) for i in range(n - 1)]
+            while gains:
+                best = max(gains)
+                if best == _NONE:
                     break
-                del cuts[at]
-        ids: list[int] = []
+                i = gains.index(best)
+                del cuts[i + 1], gains[i]
+                if i:
+                    gains[i - 1] = score(unit[cuts[i - 1] : cuts[i + 1]], _NONE)
+                if i < len(gains):
+                    gains[i] = score(unit[cuts[i] : cuts[i + 2]], _NONE)
+        out = []
         for a, b in zip(cuts, cuts[1:]):
-            found = table.get(unit[a:b])
-            if found:
-                ids.append(found[1])
-            else:
-                ids.extend(self.first_byte + x for x in unit[a:b].encode())
-        return np.array(ids, np.int32).tobytes()
+            known = code(unit[a:b])
+            if known is None:
+                known = np.array([self.first_byte + x for x in unit[a:b].encode()], np.int32).tobytes()
+            out.append(known)
+        return b"".join(out)
 
     def _merge_long(self, unit: str) -> list[int]:
         """The same cuts with a heap: the time grows with n log n."""
@@ -101,8 +129,8 @@ class Pieces:
 
         def offer(a: int) -> None:
             b = end[a]
-            if b < n and (found := self.table.get(unit[a : end[b]])) is not None:
-                heapq.heappush(heap, (-found[0], a, end[b]))
+            if b < n and (found := self.scores.get(unit[a : end[b]])) is not None:
+                heapq.heappush(heap, (-found, a, end[b]))
 
         for i in range(n):
             offer(i)
@@ -253,17 +281,44 @@ class Codec:
         def encoded(texts: pa.Array) -> pa.Array:
             from pressgauge.llm import subwords
 
-            cache = subwords._workers.setdefault(name, {})
+            cache = subwords._workers.setdefault(name, subwords._Cache())
             pieces, frequent, _ = shared.value
             out, sizes = [], [0]
-            for text in texts.to_pylist():
-                ids = subwords._encoded(text or "", pieces, frequent, cache)
+            for text in texts:
+                ids = subwords._encoded(text.as_py() or "", pieces, frequent, cache)
                 out.append(ids)
                 sizes.append(sizes[-1] + len(ids) // 4)
             values = pa.array(np.frombuffer(b"".join(out), np.int32))
             return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), values)
 
-        return encoded(text)
+        # Else the optimizer encodes once more for each expression over the ids.
+        return encoded.asNondeterministic()(text)
+
+    def round_trips(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        """(id, ids, round_trip): ids of every whole text, and whether decoding gives the text back; one pass in small batches."""
+        shared, name = self._shared, self.name
+        kind = docs.schema[id_col].dataType.simpleString()
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            from pressgauge.llm import subwords
+
+            cache = subwords._workers.setdefault(name, subwords._Cache())
+            pieces, frequent, stands = shared.value
+            for whole in batches:
+                for at in range(0, len(whole), BATCH_ROWS):
+                    batch = whole.slice(at, BATCH_ROWS)
+                    out, sizes, same = [], [0], []
+                    for text in batch.column(1):
+                        text = text.as_py() or ""
+                        out.append(subwords._encoded(text, pieces, frequent, cache))
+                        ids = np.frombuffer(out[-1], np.int32)
+                        sizes.append(sizes[-1] + len(ids))
+                        same.append(subwords._decoded(ids, stands) == text.replace(MARK, " "))
+                    values = pa.array(np.frombuffer(b"".join(out), np.int32))
+                    lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), values)
+                    yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(same)], names=[id_col, "ids", "round_trip"])
+
+        return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, round_trip boolean")
 
     def decode(self, ids: Column) -> Column:
         """The text of each list of ids; a mark character in the encoded text comes back as a space, all else as it was. Null gives the empty text."""
@@ -271,28 +326,24 @@ class Codec:
 
         @arrow_udf(StringType())
         def decoded(lists: pa.Array) -> pa.Array:
-            stands = shared.value[2].__getitem__
-            out = [b"".join(map(stands, x or ()))[1:].decode("utf-8", "replace") for x in lists.to_pylist()]
-            return pa.array(out, pa.string())
+            stands = shared.value[2]
+            values = lists.flatten().to_numpy()
+            ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy())
+            out = [_decoded(part, stands) for part in np.split(values, ends[:-1])]
+            return pa.array(out[: len(lists)], pa.string())
 
         return decoded(ids)
 
 
-def _encoded(text: str, pieces: Pieces, frequent: dict[str, bytes], cache: dict[str, bytes]) -> bytes:
+def _encoded(text: str, pieces: Pieces, frequent: dict[str, bytes], cache: _Cache) -> bytes:
     if not text:
         return b""
     units = _units.findall(MARK + text.replace(" ", MARK))
     found = list(map(frequent.get, units))
     if None in found:
-        for i, ids in enumerate(found):
-            if ids is None:
-                unit = units[i]
-                ids = cache.get(unit)
-                if ids is None:
-                    ids = pieces.merge(unit)
-                    if len(unit) <= LONGEST_CACHED:
-                        if len(cache) >= CACHE_UNITS:
-                            cache.clear()
-                        cache[unit] = ids
-                found[i] = ids
+        found = [cache.ids(unit, pieces) if ids is None else ids for unit, ids in zip(units, found)]
     return b"".join(found)
+
+
+def _decoded(ids: np.ndarray, stands: np.ndarray) -> str:
+    return b"".join(stands[ids].tolist())[1:].decode("utf-8", "replace")

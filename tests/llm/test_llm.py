@@ -276,7 +276,7 @@ def test_viterbi_fold(spark):
     def best(unit):
         if not unit:
             return 0.0
-        heads = [(s, p) for p, (s, _) in pieces.table.items() if unit.startswith(p)] or [(subwords.UNKNOWN, unit[0])]
+        heads = [(s, p) for p, s in pieces.scores.items() if unit.startswith(p)] or [(subwords.UNKNOWN, unit[0])]
         return max(s + best(unit[len(p) :]) for s, p in heads)
 
     text = {i: p for p, i, _ in rows}
