@@ -156,11 +156,22 @@ def _normal(text: Column) -> Column:
 
 
 def frequent_units(docs: DataFrame, text_col: str = "text", most: int = FREQUENT) -> DataFrame:
-    """(unit): the most frequent units of all texts."""
+    """(unit): the most frequent units of all texts, whole frequencies at a time, ``most`` at most.
+
+    The least frequency comes from a table of frequencies, so no task sees all units.
+    """
     units = docs.select(F.explode(F.regexp_extract_all(_normal(F.col(text_col)), F.lit(UNIT), F.lit(0))).alias("unit"))
-    counted = units.groupBy("unit").agg(F.count(F.lit(1)).alias("n"))
-    short = counted.filter(F.length("unit") <= LONGEST_FREQUENT)
-    return short.orderBy(F.desc("n"), "unit").limit(most).select("unit")
+    counted = cut_lineage(
+        units.groupBy("unit").agg(F.count(F.lit(1)).alias("n")).filter(F.length("unit") <= LONGEST_FREQUENT), "units"
+    )
+    steps = counted.groupBy("n").agg(F.count(F.lit(1)).alias("units")).orderBy(F.desc("n")).limit(most).collect()
+    total, least = 0, None
+    for step in steps:
+        total += step["units"]
+        if total > most:
+            break
+        least = step["n"]
+    return counted.filter(F.col("n") >= F.lit(least).cast("bigint")).select("unit")
 
 
 def lattice(units: DataFrame, pieces: Pieces) -> DataFrame:
@@ -265,7 +276,7 @@ class Codec:
     def fit(docs: DataFrame, path: str, text_col: str = "text", most: int = FREQUENT) -> Codec:
         """Fold the frequent units of ``docs``; any other text can be encoded as well."""
         pieces = Pieces.load(path)
-        units = cut_lineage(frequent_units(docs, text_col, most), "units")
+        units = frequent_units(docs, text_col, most)
         # A fixed number of parts: the table is small, the folding is not.
         dealt = units.repartition(4 * docs.sparkSession.sparkContext.defaultParallelism, "unit")
         folded = fold_merges(lattice(dealt, pieces), pieces.first_byte).toArrow()

@@ -261,7 +261,7 @@ def test_subwords_equal_the_library(spark, texts, odd, none):
     for r in coded.collect():
         assert r["ids"] == model.encode(r["text"] or "") and r["back"] == (r["text"] or "")
     pieces, frequent, _ = codec._shared.value
-    assert len(frequent) == 2000 and all(pieces.merge(u) == ids for u, ids in frequent.items())
+    assert 200 < len(frequent) <= 2000 and all(pieces.merge(u) == ids for u, ids in frequent.items())
     assert subwords.Codec.fit(none, PIECES).encode(F.col("text")) is not None
 
 
