@@ -15,7 +15,7 @@ SPACE[list(WORD_ENDS)] = True
 NOT_LETTER = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 LOWER = np.array([b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)], dtype=np.uint8)
 #: Texts are taken together up to this many bytes; a longer one is a piece of its own.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX1 = np.uint64(0xBF58476D1CE4E5B9)

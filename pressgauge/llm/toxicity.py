@@ -126,6 +126,10 @@ class Chain:
         """Rows and features as distinct pairs; ``labels`` has a column per category."""
         n = len(labels)
         before = np.zeros((n, 0))
+        # Most features are rare; a coarse count drops most of them before the costly sort.
+        coarse = (features & np.uint64((1 << _FILTER_BITS + 2) - 1)).astype(np.int32)
+        often = np.bincount(coarse, minlength=1 << _FILTER_BITS + 2)[coarse] >= LEAST_ROWS
+        rows, features = rows[often], features[often]
         kinds, index = np.unique(features, return_inverse=True)
         common = np.bincount(index, minlength=len(kinds)) >= LEAST_ROWS
         keep = common[index]
