@@ -392,7 +392,7 @@ FROM (
 
 def summary_tables(prefix: str, source: str, key: str, column: str, needs: Sequence[str]) -> str:
     parts = (
-        f"list_filter(list_transform(regexp_extract_all({clean(column)}, '[^.!?]+[.!?]*'), "
+        f"list_filter(list_transform(regexp_extract_all({clean(column)}, '[^.!?]*(?:[.!?]+[^.!?\\s][^.!?]*)*[.!?]*'), "
         "lambda s: regexp_replace(s, '^\\s+|\\s+$', '', 'g')), lambda s: s <> '')"
     )
     define(f"{prefix}_parts", needs, f"SELECT {key}, {parts} AS parts FROM {source}")

@@ -165,6 +165,18 @@ def test_summary_keeps_text_order_and_cap(spark):
     assert capped[1] == "Gato gato perro."
 
 
+def test_summary_is_local_to_a_row_and_keeps_decimal_points(spark):
+    df = spark.createDataFrame([(1, "¡Ojo! Subio 3.5 por ciento. ...y bajo. " + "1." * 9000), (2, None)], "id int, t string")
+    assert one_list(spark, df, 1)[:3] == ["¡Ojo!", "Subio 3.5 por ciento.", "...y bajo."]
+    found = summarize.extractive_summary(df, "id", "t", stop_words=("por",))
+    assert dict(rows(found, "id", "summary")) == {1: "¡Ojo! Subio 3.5 por ciento. ...y bajo.", 2: ""}
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def one_list(spark, df, key):
+    return df.filter(F.col("id") == key).select(summarize.sentences(F.col("t")).alias("s")).first()["s"]
+
+
 def test_mean_vector_and_backfill(spark):
     vectors = spark.createDataFrame(
         [(0, "a", [1.0, 0.0]), (1, "b", [0.0, 1.0])], "rank bigint, word string, vec array<float>"
