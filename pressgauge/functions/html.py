@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+import json
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pressgauge.functions.binding import let
+from pressgauge.functions.text import strip_space
 
 UNSEEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 P_OPEN = r"(?i)<p(?:\s[^>]*)?/?>"
@@ -18,8 +20,26 @@ P_END = (
     r"|table|tbody|td|th|tr|ul))\b.*$"
 )
 ANY_TAG = r"(?s)</?[A-Za-z][^>]*>"
-ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
-HREF = r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"'#][^"']*)["']"""
+# Character references end with a semicolon; numbers and the older names also stand without one.
+NUMBER = r"^#(?:[0-9]+|[xX][0-9A-Fa-f]+);?"
+NAMED = r"^([A-Za-z][A-Za-z0-9]{1,31};)"
+OLD_NAMES = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+OLD_NAMED = "^(" + "|".join(OLD_NAMES) + ")"
+# In an attribute an older name without semicolon is text if more of a word or a value follows.
+OLD_NAMED_IN_ATTRIBUTE = OLD_NAMED + "(?![=A-Za-z0-9])"
+# Numbers 128 to 159 mean the characters of Windows-1252, where it has one.
+WINDOWS = {
+    code: ord(char)
+    for code in range(128, 160)
+    if (char := bytes([code]).decode("cp1252", "ignore"))
+}
+# An unquoted value ends at white space.
+HREF = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+
+
+def _windows(code: Column) -> Column:
+    known = F.create_map(*[F.lit(v) for pair in sorted(WINDOWS.items()) for v in pair])
+    return F.coalesce(F.try_element_at(known, code.cast("int")), code)
 
 
 def _char(code: Column) -> Column:
@@ -30,17 +50,31 @@ def _char(code: Column) -> Column:
     )
 
 
-def _decode_one(piece: Column, named: Column) -> Column:
-    """Text that followed an ampersand, with its entity replaced."""
-    name = F.regexp_extract(piece, ENTITY, 1)
-    code = (
-        F.when(name.rlike("^#[0-9]"), F.substring(name, 2, 7).cast("bigint"))
-        .when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 6), 16, 10).cast("bigint"))
-        .when(name != "", F.try_element_at(named, name).cast("bigint"))
+def _numbered(reference: Column) -> Column:
+    """The character of a reference like ``#233;`` or ``#xE9;``."""
+    digits = F.regexp_replace(reference, "^#[xX]?0*|;$", "")
+    hexadecimal = reference.rlike("^#[xX]")
+    code = F.when(F.length(digits) > 9, F.lit(0)).otherwise(
+        F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(F.conv(digits, 10, 10)).cast("bigint")
     )
-    rest = F.substring(piece, F.length(name) + 2, F.length(piece))
-    return F.when(code.isNull(), F.concat(F.lit("&"), piece)).otherwise(
-        F.concat(_char(code), rest)
+    return let(let(code, _windows), _char)
+
+
+def _decode_one(piece: Column, names: Column, old_named: str) -> Column:
+    """Text that followed an ampersand, with its character reference replaced."""
+
+    def without(length: Column) -> Column:
+        return F.substring(piece, length + 1, F.length(piece))
+
+    number = F.regexp_extract(piece, NUMBER, 0)
+    name = F.regexp_extract(piece, NAMED, 1)
+    old = F.regexp_extract(piece, old_named, 1)
+    return (
+        F.when(F.startswith(piece, F.lit("amp;")), F.concat(F.lit("&"), F.substring(piece, 5, 1 << 30)))
+        .when(number != "", F.concat(_numbered(number), without(F.length(number))))
+        .when(F.map_contains_key(names, name), F.concat(F.element_at(names, name), without(F.length(name))))
+        .when(old != "", F.concat(F.element_at(names, old), without(F.length(old))))
+        .otherwise(F.concat(F.lit("&"), piece))
     )
 
 
@@ -48,12 +82,14 @@ def _after_first(parts: Column) -> Column:
     return F.slice(parts, F.lit(2), F.size(parts))
 
 
-def unescape(c: Column) -> Column:
-    """Decode character references once, left to right."""
-    named = F.create_map(*[F.lit(v) for kv in sorted(name2codepoint.items()) for v in kv])
+def unescape(c: Column, attribute: bool = False) -> Column:
+    """Decode character references once, left to right, in text or in an attribute's value."""
+    # One literal, which the optimizer reads once.
+    names = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+    old_named = OLD_NAMED_IN_ATTRIBUTE if attribute else OLD_NAMED
 
     def decode(parts: Column) -> Column:
-        rest = F.transform(_after_first(parts), lambda p: _decode_one(p, named))
+        rest = F.transform(_after_first(parts), lambda p: _decode_one(p, names, old_named))
         return F.concat(F.get(parts, F.lit(0)), F.array_join(rest, ""))
 
     return let(
@@ -83,26 +119,60 @@ def page_title(html: Column) -> Column:
     return F.nullif(unescape(inner), F.lit(""))
 
 
+def _without_dots(url: Column) -> Column:
+    """An absolute address with ``.`` and ``..`` in its path resolved."""
+    origin = F.regexp_extract(url, r"^[A-Za-z]+://[^/?#]*", 0)
+    path = F.regexp_extract(url, r"^[A-Za-z]+://[^/?#]*([^?#]*)", 1)
+
+    def step(kept: Column, part: Column) -> Column:
+        # The first part is the empty one before the first slash, and stays.
+        up = F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(1)))
+        return F.when(part == ".", kept).when(part == "..", up).otherwise(F.concat(kept, F.array(part)))
+
+    def joined(parts: Column) -> Column:
+        last = F.element_at(parts, -1)
+        kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+        end = F.when(last.isin(".", ".."), F.lit("/")).otherwise(F.lit(""))
+        return F.concat(F.array_join(kept, "/"), end)
+
+    tail = F.substring(url, F.length(origin) + F.length(path) + 1, F.length(url))
+    dotted = url.rlike(r"^[A-Za-z]+://[^/?#]*(?:/[^?#]*)?/[.]{1,2}(?:[/?#]|$)")
+    return F.when(dotted, F.concat(origin, let(F.split(path, "/"), joined), tail)).otherwise(url)
+
+
 def article_links(url: Column, html: Column) -> Column:
-    """Absolute link targets of a page, duplicates removed."""
+    """Absolute web addresses that a page links to, duplicates removed.
+
+    Links in comments and scripts, links into the page itself and other schemes than http and https do not count.
+    """
     place = F.struct(
         F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1).alias("scheme"),
         F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)", 1).alias("origin"),
+        F.regexp_extract(url, r"^([^?#]*)", 1).alias("page"),
         F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*://[^?#]*/)[^/?#]*(?:[?#].*)?$", 1).alias(
             "folder"
         ),
     )
-    hrefs = F.regexp_extract_all(html, F.lit(HREF), F.lit(1))
+    found = F.regexp_extract_all(F.regexp_replace(html, UNSEEN, ""), F.lit(HREF), F.lit(1))
+    values = F.transform(found, lambda v: strip_space(unescape(F.regexp_replace(v, "^[\"']|[\"']$", ""), True)))
+    hrefs = F.filter(
+        values,
+        lambda h: (h != "") & ~h.startswith("#") & (~h.rlike("^[A-Za-z][A-Za-z0-9+.-]*:") | h.rlike("(?i)^https?:")),
+    )
 
     def absolute(at: Column) -> Column:
         own_host = F.concat(at["origin"], F.lit("/"))
         folder = F.when(F.length(at["folder"]) > F.length(own_host), at["folder"]).otherwise(own_host)
+        page = F.when(F.length(at["page"]) > F.length(at["origin"]), at["page"]).otherwise(own_host)
         return F.transform(
             hrefs,
-            lambda h: F.when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), h)
-            .when(h.startswith("//"), F.concat(at["scheme"], h))
-            .when(h.startswith("/"), F.concat(at["origin"], h))
-            .otherwise(F.concat(folder, h)),
+            lambda h: _without_dots(
+                F.when(h.rlike(r"(?i)^https?:"), h)
+                .when(h.startswith("//"), F.concat(at["scheme"], h))
+                .when(h.startswith("/"), F.concat(at["origin"], h))
+                .when(h.startswith("?"), F.concat(page, h))
+                .otherwise(F.concat(folder, h))
+            ),
         )
 
     return F.array_distinct(let(place, absolute))

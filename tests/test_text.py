@@ -124,6 +124,36 @@ def test_article_links(spark):
     assert got == ["https://s.org/x", "https://s.org/d/y?z=1", "https://h/w", "http://o/p"]
 
 
+def test_character_references(spark):
+    cases = {
+        "&apos;&#39;": "''",
+        "&#128;&#x80;&#0;&#xD800;&#99999999999;": "€€\ufffd\ufffd\ufffd",
+        "a &amp b &copy2024 &notit; &notin; &bogus;": "a & b ©2024 ¬it; ∉ &bogus;",
+        "&amp;lt; &NotEqualTilde; &": "&lt; ≂̸ &",
+    }
+    for given, want in cases.items():
+        assert one(spark, html.unescape(F.col("a")), a=given) == want
+    assert one(spark, html.unescape(F.col("a"), True), a="?a=1&copy=2&amp;b=3&lt") == "?a=1&copy=2&b=3<"
+
+
+LINKS = {
+    '<!-- <a href="/no">x</a> --><script>t=\'<a href="/no">\'</script><a href="/yes">y</a>': ["https://s.org/yes"],
+    "<a href=/x>1</a><a class=k href=y/z title=t>2</a>": ["https://s.org/x", "https://s.org/d/y/z"],
+    '<a href="/x?a=1&amp;b=2">1</a>': ["https://s.org/x?a=1&b=2"],
+    '<a href="?page=2">1</a>': ["https://s.org/d/e.html?page=2"],
+    '<a href="../up">1</a><a href="../../../top/">2</a><a href="./a/./b/..">3</a>': [
+        "https://s.org/up", "https://s.org/top/", "https://s.org/d/a/"],
+    '<a href="mailto:a@b.c">1</a><a href="javascript:void(0)">2</a><a href=" HTTP://o/p ">3</a>': ["HTTP://o/p"],
+    '<a data-href="/no" href="/yes">1</a><a name=k>2</a>': ["https://s.org/yes"],
+}
+
+
+def test_link_forms(spark):
+    links = html.article_links(F.col("u"), F.col("h"))
+    for page, want in LINKS.items():
+        assert one(spark, links, u="https://s.org/d/e.html?q=/n/", h=page) == want
+
+
 def test_vectors(spark):
     df = spark.createDataFrame([([3.0, 4.0], [4.0, 3.0]), ([0.0, 0.0], [1.0, 0.0])], "a array<double>, b array<double>")
     rows = df.select(unit(F.col("a")).alias("u"), cosine(F.col("a"), F.col("b")).alias("c")).collect()
