@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -138,42 +140,60 @@ def model_entities(
     return chunks.mapInPandas(find, T.StructType(fields))
 
 
+def word_places(text: Column) -> Column:
+    """Array of (word, start from 0) of a text; a word is a run of letters, digits and underscores.
+
+    Running offsets over a long array take quadratic time in built-in functions, so the texts go to Python in Arrow batches.
+    """
+
+    @F.arrow_udf("array<struct<word:string,start:int>>")
+    def place(column: pa.Array) -> pa.Array:
+        words, starts, ends = [pa.array([], pa.string())], [pa.array([], pa.int32())], [0]
+        for value in column:
+            found = list(re.finditer(r"\w+", value.as_py() or ""))
+            words.append(pa.array([m.group() for m in found], pa.string()))
+            starts.append(pa.array([m.start() for m in found], pa.int32()))
+            ends.append(ends[-1] + len(found))
+        flat = [pa.concat_arrays(words), pa.concat_arrays(starts)]
+        places = pa.StructArray.from_arrays(flat, names=["word", "start"])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), places)
+
+    return place(text)
+
+
 def gazetteer_entities(
-    df: DataFrame,
-    text: str,
-    gazetteer: DataFrame,
-    keep: Sequence[str] = ("index",),
-    chunker: Callable[[Column], Column] = word_chunks,
+    df: DataFrame, text: str, gazetteer: DataFrame, keep: Sequence[str] = ("index",)
 ) -> DataFrame:
     """Hits of a gazetteer (word, entity_group, score) on runs of words as long as its longest name.
 
-    Runs are built per chunk and joined on the phrase, so the work grows with the text
-    and not with text times gazetteer. The join looks at the runs more than once, so the
-    chunks are written out first.
+    Each mention counts once; ``start`` and ``end`` count from 0 in the cleaned text, and between words
+    anything but letters and digits may stand. Runs are joined on the phrase, so the work grows with the text
+    and not with text times gazetteer. The join looks at the runs more than once, so the words are written out first.
     """
-    cleaned = df.select(*keep, clean_whitespace(F.col(text)).alias("_text"))
-    chunks = cut_lineage(explode_chunks(cleaned, chunker(F.col("_text")), *keep), "chunks")
-    tokens = F.array_remove(F.split("chunk", r"[^\p{L}\p{N}_]+"), "")
+    cleaned = clean_whitespace(F.col(text))
+    placed = cut_lineage(df.select(*keep, word_places(cleaned).alias("_words")), "words")
     size = F.size(F.split(F.trim("word"), r"\s+"))
     longest = gazetteer.agg(F.greatest(F.lit(1), F.coalesce(F.max(size), F.lit(1))).alias("n")).scalar()
-    chunks = chunks.withColumn("_longest", longest)
-
-    def runs(found: Column) -> Column:
-        return F.flatten(
-            F.transform(
-                F.sequence(F.lit(1), F.col("_longest")),
-                lambda n: F.transform(
-                    found,
-                    lambda t, i: F.when(
-                        i + n <= F.size(found), F.array_join(F.slice(found, i + 1, n), " ")
-                    ),
-                ),
-            )
+    found = F.col("_words")
+
+    def run(first: Column, last: Column) -> Column:
+        at = F.get(found, last)
+        words = F.transform(F.sequence(first, last), lambda k: F.get(found, k)["word"])
+        return F.struct(
+            F.array_join(words, " ").alias("word"),
+            F.get(found, first)["start"].alias("start"),
+            (at["start"] + F.length(at["word"])).alias("end"),
         )
 
-    phrases = chunks.select(
-        *keep, "chunk_id", F.explode(F.array_compact(let(tokens, runs))).alias("word")
+    runs = F.transform(
+        F.sequence(F.lit(1), F.col("_longest")),
+        lambda n: F.transform(found, lambda _, i: F.when(i + n <= F.size(found), run(i, i + n - 1))),
+    )
+    phrases = (
+        placed.withColumn("_longest", longest)
+        .select(*keep, F.explode(F.array_compact(F.flatten(runs))).alias("_r"))
+        .select(*keep, "_r.word", "_r.start", "_r.end")
     )
     return skewed_join(phrases, gazetteer, "word", "inner").select(
-        *keep, "chunk_id", "entity_group", "score", "word"
+        *keep, "entity_group", "score", "word", "start", "end"
     )

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressgauge.functions.text import clean_whitespace, content_hash, words
+from pressgauge.functions.text import clean_whitespace, content_hash, host_of_link, join_authors, words
 from pressgauge.operators.entities import rule_entities
 from pressgauge.operators.ids import assign_ids
 
@@ -20,6 +20,7 @@ SUMMARY_STATES = ("de",)
 PORTAL_LABELS = {"src0": "Gendarmería"}
 DIM = 64
 THRESHOLD = 0.45
+RUN_STAMP = "2023-08-16 10:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +55,26 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dated_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with a day and authors: secure ones are of the run day, those with a mark of the day before."""
+    url = F.col("url")
+    day = F.when(F.contains(url, F.lit("#")), "2023-08-15").when(url.startswith("https"), RUN_STAMP[:10])
+    folders = F.array_remove(F.split(F.regexp_extract(url, "^[a-z]+://[^/]+/([^?#]*)", 1), "/"), "")
+    return table(spark, sf_dir, "pages").withColumns({"date_article": day, "authors": join_authors(folders)})
+
+
+def portals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(host, state, city): hosts of the pages, with a row for each first folder, and of the sources, which have no pages."""
+    state = F.regexp_extract("url", "^[a-z]+://[^/]+/([a-z]+)", 1)
+    crawled = table(spark, sf_dir, "pages").select(
+        host_of_link(F.col("url")).alias("host"), state.alias("state"), F.upper(state).alias("city")
+    )
+    others = table(spark, sf_dir, "documents").select(
+        F.concat("source", F.lit(".example")).alias("host"), F.col("lang").alias("state"), F.lit(None).cast("string").alias("city")
+    )
+    return crawled.unionByName(others).distinct()
+
+
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_entities(
         news(spark, sf_dir), "content", ("index", "link", "content_hash")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,12 +14,13 @@ from pressgauge.functions.text import (
     host_of_link,
     text_or_default,
 )
-from pressgauge.operators.clean import long_enough, usable
+from pressgauge.operators.clean import long_enough, same_day, usable
 from pressgauge.operators.dedupe import keep_first
 from pressgauge.operators.funnel import extraction_funnel
-from pressgauge.operators.relevance import DEFAULT_THRESHOLD, keyword_match, topic_similarity
-from pressgauge.operators.skew import skewed_join
+from pressgauge.operators.relevance import DEFAULT_THRESHOLD, keyword_match, matching, topic_similarity
+from pressgauge.operators.summarize import with_summary
 from pressgauge.session import cut_lineage
+from pressgauge.sources.catalog import with_portal_place
 
 
 def page_candidates(
@@ -68,51 +69,55 @@ def extract_articles(
     vectors: DataFrame,
     topic: str,
     run_stamp: str,
+    summarize: Callable[[DataFrame, str], DataFrame] = with_summary,
+    stop_words: Sequence[str] = (),
     **options,
 ) -> tuple[DataFrame, DataFrame]:
     """(statistics per portal, raw articles of the run day).
 
     ``portals`` has host, state and city; ``pages`` has page_id, url and html, and may
     have date_article and authors. A missing publication date counts as the run day.
+    ``summarize`` adds the column summary. Pages whose address has no keyword are dropped where they are read, so
+    their HTML never travels.
     """
-    candidates = cut_lineage(page_candidates(pages, keywords, vectors, **options), "links")
+    candidates = cut_lineage(
+        page_candidates(pages, keywords, vectors, stop_words=stop_words, **options), "links"
+    )
     stats = (
         extraction_funnel(portals, candidates, "host")
         .withColumnRenamed("host", "url")
         .select(F.lit(run_stamp).alias("date_extract"), F.lit(topic).alias("topic"), "*")
     )
-    place = portals.groupBy("host").agg(F.min(F.struct("state", "city")).alias("_p"))
-    chosen = skewed_join(
-        candidates.filter("match2").select("page_id", "host", "link_sim_score"), place, "host"
-    ).select("page_id", "host", "link_sim_score", "_p.state", "_p.city")
-    optional = {
-        "date_article": F.lit(None).cast("string"),
-        "authors": F.lit(None).cast("string"),
-    }
-    for name in optional:
-        if name in pages.columns:
-            optional[name] = F.col(name).cast("string")
+    chosen = with_portal_place(
+        candidates.filter("match2").select("page_id", "host", "link_sim_score"),
+        portals.withColumnRenamed("host", "newsportalurl"),
+        "host",
+    )
+    optional = [
+        F.col(name).cast("string").alias(name) if name in pages.columns else F.lit(None).cast("string").alias(name)
+        for name in ("date_article", "authors")
+    ]
+    matched = matching(pages.select("page_id", "url", "html", *optional), "url", keywords, stop_words)
     texts = (
-        pages.join(chosen, "page_id")
+        matched.join(chosen, "page_id")
         .withColumn("content", paragraph_text(F.col("html")))
         .filter(usable("content", "url"))
         .select(
             "page_id",
             F.lit(run_stamp).alias("date_extract"),
-            F.coalesce(optional["date_article"], F.lit(run_stamp)).alias("date_article"),
+            F.coalesce("date_article", F.lit(run_stamp)).alias("date_article"),
             F.lit(topic).alias("topic"),
             "content",
             F.col("url").alias("link"),
             "link_sim_score",
             text_or_default(page_title(F.col("html"))).alias("title"),
-            F.substring("content", 1, 300).alias("summary"),
-            F.coalesce(optional["authors"], F.lit("n-a")).alias("authors"),
+            F.coalesce("authors", F.lit("n-a")).alias("authors"),
             F.col("host").alias("portal"),
             "state",
             "city",
             content_hash(F.col("content")).alias("content_hash"),
             char_count(F.col("content")).alias("content_nchar"),
         )
-        .filter(F.substring("date_article", 1, 10) == run_stamp[:10])
     )
-    return stats, keep_first(long_enough(texts), "content_hash", "page_id")
+    today = cut_lineage(long_enough(same_day(texts, run_stamp[:10])), "today")
+    return stats, summarize(keep_first(today, "content_hash", "page_id"), "content")

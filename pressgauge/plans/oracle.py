@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pressgauge.functions import html, stem
+from pressgauge.functions import stem
 from pressgauge.functions.text import ACCENTED, UNACCENTED
 from pressgauge.operators.entities import DEFAULT_RULES
 from pressgauge.plans import bindings as b
@@ -427,6 +427,70 @@ GROUP BY p.{key}""",
 
 DOC_SUMMARY = summary_tables("sm", "documents", "doc_id", "text", [])
 
+# --- pages -----------------------------------------------------------------------------
+
+SEEN = (
+    "regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), "
+    "'(?is)<script[ >].*?</script *>|<style[ >].*?</style *>', '', 'g')"
+)
+BLOCKS = (
+    "ul ol li dl dt dd table thead tbody tfoot td th tr div section article aside main header footer nav form fieldset "
+    "figure details blockquote address pre hr h1 h2 h3 h4 h5 h6 body html"
+).split()
+_CLOSE = "(?is)<(?:/p|/?(?:" + "|".join(BLOCKS) + "))(?:[^a-z0-9].*)?$"
+_DECODED = "replace(replace({}, '&quot;', '\"'), '&amp;', '&')"
+
+# The only character references in titles and paragraphs are &amp; and &quot;.
+define(
+    "page_texts",
+    [],
+    "SELECT page_id, url, nullif("
+    + _DECODED.format("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")
+    + ", '') AS title, "
+    + _DECODED.format(
+        f"array_to_string(list_transform((regexp_split_to_array({SEEN}, '(?i)<p(?:>|/>|\\s[^>]*>)'))[2:], "
+        f"lambda p: regexp_replace(regexp_replace(p, {q(_CLOSE)}, ''), '</?[A-Za-z][^>]*>', '', 'g')), ' ')"
+    )
+    + " AS content FROM pages",
+)
+define(
+    "page_hits",
+    [URL_MATCH, "sims"],
+    f"""
+SELECT page_id, url, {host("url")} AS host, score, n_matches > 0 AS match1,
+       n_matches > 0 AND coalesce(score, 0) > 0.2 AS match2
+FROM pages JOIN {URL_MATCH} USING (page_id) LEFT JOIN (
+  SELECT page_id, round(sum(best) / {len(b.KEYWORDS)}, 4) AS score FROM (
+    SELECT page_id, pos, max(sim) AS best
+    FROM (SELECT DISTINCT page_id, unnest({words("html")}) AS word FROM pages) JOIN sims USING (word)
+    GROUP BY page_id, pos) GROUP BY page_id) USING (page_id)""",
+)
+define(
+    "portals",
+    [],
+    f"""
+SELECT {host("url")} AS host, regexp_extract(url, '://[^/]+/([a-z]+)', 1) AS state,
+       upper(regexp_extract(url, '://[^/]+/([a-z]+)', 1)) AS city FROM pages
+UNION SELECT source || '.example', lang, NULL FROM documents""",
+)
+define(
+    "run_pages",
+    ["page_texts", "page_hits", "portals"],
+    f"""
+SELECT * FROM (
+  SELECT page_id, {q(b.RUN_STAMP)} AS date_extract,
+         CASE WHEN starts_with(url, 'https') THEN '2023-08-16' ELSE {q(b.RUN_STAMP)} END AS date_article, 'feeds' AS topic,
+         content, url AS link, score AS link_sim_score, coalesce(title, 'na') AS title,
+         coalesce(nullif(array_to_string(list_filter(string_split(regexp_extract(url, '^[a-z]+://[^/]+/([^?#]*)', 1), '/'),
+           lambda x: x <> ''), '-'), ''), 'n-a') AS authors,
+         host AS portal, state, city, sha256(content) AS content_hash, length(content) AS content_nchar
+  FROM page_texts JOIN page_hits USING (page_id, url)
+  LEFT JOIN (SELECT host, min(state) AS state, upper(min(state)) AS city FROM portals GROUP BY host) USING (host)
+  WHERE match2 AND NOT contains(url, '#') AND length(content) > 400)
+QUALIFY row_number() OVER (PARTITION BY content_hash ORDER BY page_id) = 1""",
+)
+RUN_SUMMARY = summary_tables("rs", "run_pages", "page_id", "content", ["run_pages"])
+
 # --- embeddings and tf-idf -------------------------------------------------------------
 
 
@@ -597,18 +661,23 @@ ORACLE: dict[str, str] = {
         f"FROM documents JOIN {DOC_MATCH} USING (doc_id) JOIN scores USING (doc_id)) c ON c.url = p.source GROUP BY p.source",
     ),
     "page_links": "SELECT DISTINCT page_id, CASE "
-    "WHEN regexp_matches(h, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN h "
+    "WHEN regexp_matches(h, '(?i)^https?:') THEN h "
     "WHEN starts_with(h, '//') THEN regexp_extract(url, '^([A-Za-z]+:)', 1) || h "
     "WHEN starts_with(h, '/') THEN regexp_extract(url, '^([A-Za-z]+://[^/?#]+)', 1) || h "
     "ELSE regexp_extract(url, '^([A-Za-z]+://[^?#]*/)', 1) || h END AS link "
-    f"FROM (SELECT page_id, url, unnest(regexp_extract_all(html, {q(html.HREF)}, 1)) AS h FROM pages)",
-    # The only character references in the pages are &amp; and &quot;.
-    "page_text": "SELECT page_id, "
-    "nullif(replace(replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '&quot;', '\"'), '&amp;', '&'), '') AS title, "
-    "replace(replace(array_to_string(list_transform((regexp_split_to_array("
-    f"regexp_replace(html, {q(html.UNSEEN)}, '', 'g'), {q(html.P_OPEN)}))[2:], "
-    f"lambda p: regexp_replace(regexp_replace(p, {q(html.P_END)}, ''), {q(html.ANY_TAG)}, '', 'g')), ' '), '&quot;', '\"'), '&amp;', '&') AS content "
-    "FROM pages",
+    f"FROM (SELECT page_id, url, trim(unnest(regexp_extract_all({SEEN}, "
+    """'(?i)<a[ \\t\\n](?:[^>]*?\\s)?href *= *("[^"]*"|[^ ">]+)', 1)), '"') AS h FROM pages) WHERE h NOT LIKE '#%'""",
+    "page_text": build(["page_texts"], "SELECT page_id, title, content FROM page_texts"),
+    "extract_stats": build(
+        ["page_hits", "portals"],
+        f"SELECT {q(b.RUN_STAMP)} AS date_extract, 'feeds' AS topic, p.host AS url, {FUNNEL} "
+        "FROM (SELECT DISTINCT host FROM portals) p LEFT JOIN page_hits c ON c.host = p.host GROUP BY p.host",
+    ),
+    "extract_run": build(
+        ["run_pages", RUN_SUMMARY],
+        "SELECT page_id, date_extract, date_article, topic, content, link, link_sim_score, title, authors, portal, state, city, "
+        f"content_hash, content_nchar, summary FROM run_pages JOIN {RUN_SUMMARY} USING (page_id)",
+    ),
     "url_match": build([URL_MATCH], f"SELECT page_id, n_tokens, match_score, matches FROM {URL_MATCH}"),
     "url_probe": build(
         [URL_MATCH],
@@ -639,12 +708,16 @@ ORACLE: dict[str, str] = {
         ["ner_one"], 'SELECT "index", word, entity_group, score, chunk_id, "start" FROM ner_one'
     ),
     "entities_gazetteer": build(
-        ["ner_one", "word_chunks"],
-        "SELECT word, 'PER' AS entity_group, count(*) AS mentions, count(DISTINCT doc_id) AS articles FROM ("
-        "SELECT doc_id, toks[i] || ' ' || toks[i + 1] AS word FROM (SELECT doc_id, toks, unnest(range(1, len(toks))) AS i "
-        "FROM (SELECT doc_id, list_filter(regexp_split_to_array(chunk, '[^\\p{L}\\p{N}_]+'), lambda x: x <> '') AS toks "
-        "FROM word_chunks) WHERE len(toks) > 1)) WHERE word IN (SELECT word FROM ner_one WHERE entity_group = 'PER' "
-        "AND contains(word, ' ')) GROUP BY word",
+        ["ner_one", "clean_docs"],
+        "SELECT doc_id + 1 AS \"index\", word || ' ' || next AS word, 'PER' AS entity_group, CAST(1 AS DOUBLE) AS score, "
+        "CAST(\"start\" AS INTEGER) AS \"start\", CAST(next_start + length(next) AS INTEGER) AS \"end\" FROM ("
+        "SELECT *, lead(word) OVER w AS next, lead(\"start\") OVER w AS next_start FROM ("
+        "SELECT *, sum(gap + length(word)) OVER (PARTITION BY doc_id ORDER BY i) - length(word) AS \"start\" FROM ("
+        "SELECT doc_id, unnest(hits) AS word, unnest(range(1, len(hits) + 1)) AS i, "
+        "unnest(list_transform(gaps[1:len(hits)], lambda g: length(g))) AS gap FROM ("
+        "SELECT doc_id, regexp_extract_all(t, '[\\p{L}\\p{N}_]+') AS hits, regexp_split_to_array(t, '[\\p{L}\\p{N}_]+') AS gaps "
+        "FROM clean_docs))) WINDOW w AS (PARTITION BY doc_id ORDER BY i)) "
+        "WHERE word || ' ' || next IN (SELECT word FROM ner_one WHERE entity_group = 'PER' AND contains(word, ' '))",
     ),
     "province_stats": build(["stats"], "SELECT * FROM stats"),
     "province_chart": build(

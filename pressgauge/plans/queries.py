@@ -24,7 +24,7 @@ from pressgauge.operators import (
     topics,
 )
 from pressgauge.plans import bindings as b
-from pressgauge.plans.extract import page_candidates
+from pressgauge.plans.extract import extract_articles, page_candidates
 from pressgauge.plans.transform import Settings
 from pressgauge.session import cut_lineage, scratch_dir
 from pressgauge.sources import landing, store
@@ -349,6 +349,32 @@ def page_funnel(spark: SparkSession, sf: str) -> DataFrame:
     return funnel.extraction_funnel(hosts, candidates, "host")
 
 
+def _extract(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    return extract_articles(
+        b.dated_pages(spark, sf),
+        b.portals(spark, sf),
+        b.URL_KEYWORDS,
+        cut_lineage(b.vectors(spark, sf), "vectors"),
+        "feeds",
+        b.RUN_STAMP,
+        threshold=0.2,
+        similarity_keywords=b.KEYWORDS,
+        similarity_text="html",
+        summarize=partial(summarize.with_summary, stop_words=b.STOP_WORDS),
+    )
+
+
+@query
+def extract_stats(spark: SparkSession, sf: str) -> DataFrame:
+    return _extract(spark, sf)[0]
+
+
+@query
+def extract_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Articles of the run day with place, title, authors, summary and hash."""
+    return _extract(spark, sf)[1]
+
+
 # --- chunks and entities ---------------------------------------------------------------
 
 
@@ -378,17 +404,14 @@ def consolidate_entities(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def entities_gazetteer(spark: SparkSession, sf: str) -> DataFrame:
-    """Every mention of a name that the rules found as a person, with any spelling rules."""
+    """Every mention of a name that the rules found as a person."""
     known = (
         report.persons(dedupe.consolidate_entities(b.entities(spark, sf)))
         .select("word")
         .distinct()
         .select("word", F.lit("PER").alias("entity_group"), F.lit(1.0).alias("score"))
     )
-    found = entities.gazetteer_entities(b.news(spark, sf), "content", known)
-    return found.groupBy("word", "entity_group").agg(
-        F.count(F.lit(1)).alias("mentions"), F.countDistinct("index").alias("articles")
-    )
+    return entities.gazetteer_entities(b.news(spark, sf), "content", known)
 
 
 # --- report ----------------------------------------------------------------------------

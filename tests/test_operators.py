@@ -147,13 +147,22 @@ def test_article_without_entities_first(spark):
 
 
 def test_gazetteer(spark):
-    df = spark.createDataFrame([(1, "el Banco Central de Salta, Salta")], "index bigint, content string")
+    filler = "ñ" * 360
+    df = spark.createDataFrame(
+        [(1, "el Banco  Central de Salta, Salta"), (2, filler + " Policia Federal de Argentina Norte, fin" + " x" * 300), (3, None)],
+        "index bigint, content string",
+    )
     gazetteer = spark.createDataFrame(
-        [("Banco Central", "ORG", 1.0), ("Salta", "LOC", 0.9), ("Jujuy", "LOC", 0.9)],
+        [("Banco Central", "ORG", 1.0), ("Salta", "LOC", 0.9), ("Salta", "ORG", 0.5), ("Jujuy", "LOC", 0.9),
+         ("Policia Federal de Argentina Norte", "ORG", 1.0)],
         "word string, entity_group string, score double",
     )
-    got = rows(entities.gazetteer_entities(df, "content", gazetteer), "entity_group", "word")
-    assert got == [("LOC", "Salta"), ("LOC", "Salta"), ("ORG", "Banco Central")]
+    got = rows(entities.gazetteer_entities(df, "content", gazetteer), "index", "entity_group", "word", "start", "end")
+    assert got == [
+        (1, "LOC", "Salta", 20, 25), (1, "LOC", "Salta", 27, 32), (1, "ORG", "Banco Central", 3, 16),
+        (1, "ORG", "Salta", 20, 25), (1, "ORG", "Salta", 27, 32),
+        (2, "ORG", "Policia Federal de Argentina Norte", 361, 395),
+    ]
 
 
 def test_summary_keeps_text_order_and_cap(spark):
