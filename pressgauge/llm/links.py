@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pressgauge.operators.skew import counted_join
 from pressgauge.session import cut_lineage
 
 
@@ -14,9 +15,10 @@ def settle(df: DataFrame, label: str) -> DataFrame:
 
 
 def _nearest(sides: DataFrame) -> DataFrame:
-    """(u, v, m): each pair with the smallest value around ``u``, ``u`` included."""
-    least = sides.groupBy("u").agg(F.min("v").alias("m"))
-    return sides.join(least.select("u", F.least("u", "m").alias("m")), "u")
+    """(u, v, m): each pair with the smallest value around ``u``, ``u`` included. Rows of a value with many links are not shuffled."""
+    least = sides.groupBy("u").agg(F.min("v").alias("m"), F.count("v").alias("n"))
+    known = settle(least.select("u", F.least("u", "m").alias("m"), "n"), "nearest")
+    return counted_join(sides, known, "u", "n").drop("n")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -49,9 +51,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     )
     mark = settled(edges)
     while mark[0]:
-        edges = settle(
-            _small_star(_large_star(edges)).filter("u != v").distinct(), "links"
-        )
+        large = settle(_large_star(edges), "large-star")
+        edges = settle(_small_star(large).filter("u != v").distinct(), "links")
         before, mark = mark, settled(edges)
         if before == mark:
             break

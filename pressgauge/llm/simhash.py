@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from pressgauge.llm.links import components, settle
 from pressgauge.llm.scan import utf8
+from pressgauge.operators.skew import counted_join
 from pressgauge.session import cut_lineage
 
 SHINGLE_WORDS = 4
@@ -129,20 +130,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, fingerprint, component_id) for every row of ``docs``.
 
     ``component_id`` is the smallest id reachable over links of at most four bits, the row's own
-    included. Equal fingerprints meet before any join, so copies cost one row per task.
+    included. Equal fingerprints meet before any join, so copies cost one row per task; no join
+    shuffles the rows of a fingerprint, a group or a link's end that holds many of them.
     A text that is null, empty or white space has fingerprint zero and links like any other. Rows
     that share an id have one row each. A row without id keeps its fingerprint, and its
     ``component_id`` is the smallest id of its group, null if no row of the group has one.
     """
     prints = cut_lineage(fingerprints(docs, id_col, text_col), "prints")
-    distinct = settle(prints.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
+    distinct = settle(
+        prints.groupBy("fp").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")), "distinct"
+    )
     groups = components(near_pairs(distinct), "a", "b")
-    rooted = distinct.join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp")
+    rooted = settle(
+        distinct.join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
+            "root", F.coalesce("root", "fp")
+        ),
+        "rooted",
+    )
+    least = rooted.groupBy("root").agg(
+        F.min("least").alias("component_id"), F.count(F.lit(1)).alias("prints")
     )
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = settle(rooted.join(least, "root").select("fp", "component_id"), "groups")
-    return prints.join(named, "fp").select(
+    named = counted_join(rooted, settle(least, "roots"), "root", "prints")
+    named = settle(named.select("fp", "component_id", "n"), "groups")
+    return counted_join(prints, named, "fp", "n").select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
