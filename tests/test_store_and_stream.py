@@ -2,6 +2,7 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from pressgauge import schemas
@@ -10,7 +11,7 @@ from pressgauge.plans.transform import Settings, transform_batch
 from pressgauge.plans.weekly import weekly_report, write_report
 from pressgauge.sources import catalog, landing
 from pressgauge.sources.store import ArticleStore, restore_types
-from pressgauge.streaming.ingest import ingest
+from pressgauge.streaming.ingest import ingest, requeue_quarantine
 
 WORDS = [(0, "droga", [1.0, 0.0]), (1, "carga", [0.8, 0.6]), (2, "plaza", [0.0, 1.0])]
 
@@ -142,6 +143,21 @@ def test_stream_ingest_archive_rejects_and_quarantine(spark, settings, tmp_path)
     kept = spark.read.parquet(f"{store.path}/quarantine")
     assert table(kept, "link", "error") == [("u10", "no model")]
     assert store.live_news().count() == 3
+    # landed again, the batch is loaded once the step works
+    requeue_quarantine(spark, store, folder, "narco", "2023-08-23_1000")
+    ingest(spark, **run)
+    assert store.live_news().count() == 4
+
+    # a failure of the cluster ends the run and the batch is repeated
+
+    def lost(df, key, text):
+        raise OSError("disk lost")
+
+    land(spark, folder, "2023-08-24_1000", [("Otro texto.", "u11", "Salta", DAY2)])
+    with pytest.raises(StreamingQueryException):
+        ingest(spark, **{**run, "settings": Settings(settings.keywords, settings.vectors, 2, summarize=lost)})
+    ingest(spark, **run)
+    assert store.live_news().count() == 5
 
 
 def test_landing_files(spark, tmp_path):
