@@ -336,6 +336,13 @@ def test_perplexity_base_rules(spark, sf_dir, texts, odd, none):
     assert perplexity.quality_rules(none).count() == 0
 
 
+def test_perplexity_bands_reject_junk(spark):
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    rows = queries.op9_perplexity(spark, "/root/testdata/sf0.01").filter("not base_failed").join(labels, "doc_id").collect()
+    rejected = {q: [not r["kept"] for r in rows if r["quality"] == q] for q in (0, 1)}
+    assert np.mean(rejected[0]) > 0.5 and np.mean(rejected[1]) < 0.1
+
+
 def test_kneser_ney_sums_to_one(spark, sf_dir):
     """Over all symbols that follow a context, with what the lower orders give the unseen ones."""
     docs = spark.createDataFrame([("en", "abab abba baab"), ("en", "abcabc"), (None, "zz")], "lang string, text string")
