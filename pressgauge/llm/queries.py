@@ -94,7 +94,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = cut_lineage(whole, "captures")
     known = pages.filter(F.col("response.type") == "response").select(
         F.col("record_id").alias("_id"), F.col("page_id").alias("refers_to")
-    )
+    ).distinct()
     return pages.join(known, pages["response.refers_to"] == known["_id"], "left").select(
         "page_id", "response.payload_bytes", "response.payload_digest",
         F.col("response.type").alias("record_type"), "refers_to",

@@ -18,6 +18,7 @@ from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import StringType
 
 from pressgauge.llm.scan import utf8
+from pressgauge.operators.skew import skewed_join
 from pressgauge.session import cut_lineage
 
 # Fixed values of the format.
@@ -39,8 +40,11 @@ def payload_digest(payloads: pa.Array) -> pa.Array:
     return pa.array([digest_of(p) for p in utf8(payloads)], pa.string())
 
 
-def _record_id(kind: str, key: Column) -> Column:
-    h = F.md5(F.concat(F.lit(f"{kind}:"), F.coalesce(key.cast("string"), F.lit("null"))))
+def _record_id(kind: str, *row: Column) -> Column:
+    """From the page's id, address and digest, so only rows equal in all three, whose records are equal, share one."""
+    parts = [F.coalesce(c.cast("string"), F.lit("null")) for c in row]
+    # A length before each part keeps the parts apart.
+    h = F.md5(F.concat(F.lit(f"{kind}:"), *[F.concat(F.length(c).cast("string"), F.lit(":"), c) for c in parts]))
     cuts = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *[F.substring(h, a, n) for a, n in cuts]), F.lit(">"))
 
@@ -55,21 +59,24 @@ def _record(headers: list[tuple[str, Column | str]], block: Column) -> Column:
 
 
 def _decided(pages: DataFrame, least_bytes: int) -> DataFrame:
-    """Pages (id, url, html, size, digest) with ``refers``: the page whose record a revisit points to, null for a response."""
+    """Pages (id, url, html, size, digest) with the id and url of the row whose record a revisit points to, ``refers`` null for a response."""
     html = F.coalesce("html", F.lit(""))
     rows = pages.select(
         F.col("page_id").alias("id"), F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", "").alias("url"),
         html.alias("html"), F.octet_length(html).cast("bigint").alias("size"), payload_digest(html).alias("digest"),
     )
-    keys = cut_lineage(rows.filter(F.col("id").isNotNull() & (F.col("size") >= least_bytes)).select("id", "digest"), "digests")
-    last = keys.groupBy("digest").agg(F.max("id").alias("refers"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    again = keys.join(last, "digest").filter("id < refers").select("id", "digest", "refers").distinct()
+    keys = cut_lineage(rows.filter(F.col("id").isNotNull() & (F.col("size") >= least_bytes)).select("id", "url", "digest"), "digests")
+    last = keys.groupBy("digest").agg(F.max(F.struct("id", "url")).alias("last"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    again = keys.join(last, "digest").filter("id < last.id").select(
+        "id", "digest", F.col("last.id").alias("refers"), F.col("last.url").alias("refers_url")
+    ).distinct()
     return rows.join(again, ["id", "digest"], "left")
 
 
 def write_archives(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES, date: str = DATE) -> None:
     """Write three records per row of (page_id, url, html) to gzip archives under ``path``.
 
+    Rows that differ have record ids of their own, also if they share an id or have none; equal rows have equal records.
     Of rows with equal payloads of ``least_bytes`` or more, the one with the largest id has the response and
     the others revisit it. A null payload is empty. Line breaks in a URL are dropped. A row without id is
     always a response.
@@ -79,13 +86,15 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES,
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), length, F.lit(END)
     )
-    me, url = _record_id("capture", F.col("id")), F.col("url")
+    url = F.col("url")
+    row = (F.col("id"), url, F.col("digest"))
+    me = _record_id("capture", *row)
     again = F.col("refers").isNotNull()
     digest = F.concat(F.lit("sha1:"), F.col("digest"))
     request_block = F.concat(F.lit("GET "), url, F.lit(" HTTP/1.1"), F.lit(END))
     request = _record(
         [
-            ("WARC-Type", "request"), ("WARC-Record-ID", _record_id("request", F.col("id"))), ("WARC-Date", date),
+            ("WARC-Type", "request"), ("WARC-Record-ID", _record_id("request", *row)), ("WARC-Date", date),
             ("WARC-Target-URI", url), ("WARC-Concurrent-To", me), ("Content-Type", "application/http; msgtype=request"),
         ],
         request_block,
@@ -94,14 +103,14 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES,
         [
             ("WARC-Type", F.when(again, "revisit").otherwise("response")), ("WARC-Record-ID", me), ("WARC-Date", date),
             ("WARC-Target-URI", url), ("WARC-Profile", F.when(again, PROFILE)),
-            ("WARC-Refers-To", F.when(again, _record_id("capture", F.col("refers")))),
+            ("WARC-Refers-To", F.when(again, _record_id("capture", F.col("refers"), F.col("refers_url"), F.col("digest")))),
             ("WARC-Payload-Digest", digest), ("Content-Type", "application/http; msgtype=response"),
         ],
         F.when(again, http).otherwise(F.concat(http, "html")),
     )
     metadata = _record(
         [
-            ("WARC-Type", "metadata"), ("WARC-Record-ID", _record_id("metadata", F.col("id"))), ("WARC-Date", date),
+            ("WARC-Type", "metadata"), ("WARC-Record-ID", _record_id("metadata", *row)), ("WARC-Date", date),
             ("WARC-Target-URI", url), ("WARC-Concurrent-To", me), ("Content-Type", "application/warc-fields"),
         ],
         F.concat(F.lit("page-id: "), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit("\r\n")),
@@ -210,20 +219,21 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def captures(records: DataFrame) -> DataFrame:
-    """One row per response or revisit: (record_id, response, requests, metadata), each part a struct or a list of structs.
+    """One row per response or revisit record: (record_id, response, requests, metadata), each part a struct or a list of structs.
 
     Requests and metadata records belong to the record that they name in WARC-Concurrent-To; a capture
-    without them has empty lists, and one that names no capture is left out. Other columns of ``records`` go into the structs.
+    without them has empty lists, and one that names no capture is left out. Equal records count once in a list, so a
+    capture that was written many times has each of its parts once. Other columns of ``records`` go into the structs.
     """
     inner = [c for c in records.columns if c not in ("type", "record_id", "concurrent_to")]
 
     def part(kind: str, name: str) -> DataFrame:
         own = records.filter((F.col("type") == kind) & F.col("concurrent_to").isNotNull())
         return own.groupBy(F.col("concurrent_to").alias("record_id")).agg(
-            F.collect_list(F.struct("record_id", *inner)).alias(name)
+            F.collect_set(F.struct("record_id", *inner)).alias(name)
         )
 
     main = records.filter(F.col("type").isin("response", "revisit"))
     main = main.select("record_id", F.struct("type", *inner).alias("response"))
-    joined = main.join(part("request", "requests"), "record_id", "left").join(part("metadata", "metadata"), "record_id", "left")
+    joined = skewed_join(skewed_join(main, part("request", "requests"), "record_id"), part("metadata", "metadata"), "record_id")
     return joined.withColumns({c: F.coalesce(c, F.array()) for c in ("requests", "metadata")})

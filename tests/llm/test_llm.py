@@ -376,6 +376,23 @@ def test_warc_round_trip(spark):
     assert warc.captures(warc.read_records(spark, empty)).count() == 0
 
 
+def test_warc_repeated_and_null_ids(spark, tmp_path):
+    rows = [(9, "u", "same")] * 3 + [(9, "v", "same"), (9, "u", "other"), (4, "u", "same"), (4, "u", "same"), (5, "w", "same")]
+    rows += [(None, f"n{i}", f"null {i}") for i in range(6)] + [(None, "n", "same")] * 2 + [(None, "n", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    got = queries.op10_warc(spark, str(tmp_path)).collect()
+    digest = lambda t: base64.b32encode(hashlib.sha1((t or "").encode()).digest()).decode()
+    again = lambda i, t: i in (4, 5) and t == "same"
+    want = Counter((i, len(t or ""), digest(t), "revisit" if again(i, t) else "response", 9 if again(i, t) else None) for i, _, t in rows)
+    assert Counter((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in got) == want
+    path = scratch_dir(spark, "warc")
+    warc.write_archives(pages, path)
+    made = warc.captures(warc.read_records(spark, path)).collect()
+    assert len(made) == len(rows) and len({r["record_id"] for r in made}) == len(set(rows))
+    assert all(len(r["requests"]) == len(r["metadata"]) == 1 for r in made)
+
+
 def test_pipeline(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = scratch_dir(spark, "stages")
