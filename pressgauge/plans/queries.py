@@ -573,7 +573,7 @@ def tfidf_top_terms(spark: SparkSession, sf: str) -> DataFrame:
 def lda_topics(spark: SparkSession, sf: str) -> DataFrame:
     docs = b.table(spark, sf, "documents").select("doc_id", "text")
     counts, vocabulary = topics.bag_of_words(docs, "text", b.STOP_WORDS)
-    model = topics.fit_lda(counts, topics=4, iterations=5)
+    model = topics.fit_lda(counts)
     return topics.topic_words(model, vocabulary, 10)
 
 

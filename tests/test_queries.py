@@ -57,3 +57,13 @@ def test_topic_words(spark):
     found = topics.topic_words(model, vocabulary, 2).collect()
     groups = {frozenset(r["term"] for r in found if r["topic"] == t) for t in (0, 1)}
     assert groups == {frozenset({"gato", "perro"}), frozenset({"avion", "tren"})}
+
+
+def test_lda_runs_the_whole_job(spark, sf_dir, monkeypatch):
+    made = []
+    fit = topics.fit_lda
+    monkeypatch.setattr(topics, "fit_lda", lambda *a, **b: made.append(fit(*a, **b)) or made[-1])
+    found = QUERIES["lda_topics"](spark, sf_dir)
+    assert made[0].getK() == 122 and made[0].getMaxIter() == 10 and made[0].isDistributed()
+    rows = found.collect()
+    assert {(r["topic"], r["position"]) for r in rows} == {(t, p) for t in range(122) for p in range(10)}
