@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pressgauge.llm import (
-    ctph, links, mixing, perplexity, quality, queries, simhash, substring, subwords, tokens, toxicity, warc,
+    ctph, links, mixing, perplexity, quality, queries, resemblance, simhash, substring, subwords, tokens, toxicity, warc,
 )
 from pressgauge.session import scratch_dir, ship_package
 
@@ -393,6 +393,33 @@ def test_warc_repeated_and_null_ids(spark, tmp_path):
     assert all(len(r["requests"]) == len(r["metadata"]) == 1 for r in made)
 
 
+def word_shingles(text):
+    words = WORD.findall("".join(c.lower() if c.isascii() else c for c in text or ""))
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def test_pipeline_drops_planted_near_copies(spark, sf_dir):
+    rng = random.Random(4)
+    rows, planted = [], {}
+    for i in range(90):
+        words = [f"w{rng.randint(0, 5000)}" for _ in range(600)]
+        rows.append((i, " ".join(words)))
+        # Words changed far apart cost five shingles each.
+        changed = words[:]
+        for k in range((13, 6, 3)[i % 3]):
+            changed[20 + 40 * k] = f"new{k}"
+        rows.append((1000 + i, " ".join(changed)))
+        planted[1000 + i] = i
+    far = [f"w{rng.randint(0, 5000)}" for _ in range(300)]
+    rows += [(2000, " ".join(far)), (2001, " ".join(far[:240] + [f"x{i}" for i in range(60)])), (5, "no copy of the other row with this id")]
+    sets = {i: word_shingles(t) for i, t in rows[:-1]}
+    likeness = {b: len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for b, a in planted.items()}
+    assert all(0 <= x - (0.8, 0.9, 0.95)[i % 3] < 0.005 for i, x in enumerate(likeness.values()))
+    got = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf_dir)
+    want = [(i, t) for i, t in rows if likeness.get(i, 0) < 0.8]
+    assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter(want)
+
+
 def test_pipeline(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = scratch_dir(spark, "stages")
