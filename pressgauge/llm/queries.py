@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pressgauge.llm import ctph, mixing, perplexity, quality, simhash, substring, subwords, tokens, toxicity, warc
+from pressgauge.llm import (
+    centroids, ctph, mixing, packing, perplexity, phrases, quality, simhash, substring, subwords, tokens, toxicity, warc,
+)
 from pressgauge.session import cut_lineage, scratch_dir, ship_package
 
 MAX_TOKENS = 2048
@@ -101,11 +103,24 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), MAX_TOKENS)
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters_with_inertia(_table(spark, sf_dir, "embeddings")).drop("compared")
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_mixing, op3_substring, op4_tokens, op5_toxicity,
         op6_subwords, op7_quality, op8_piecewise, op9_perplexity, op10_warc,
+        op11_packing, op12_centroids, op13_phrases,
     )
 }
 
@@ -177,4 +192,73 @@ SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
 FROM g
 """
 
-ORACLE: dict[str, str] = {"op2_mixing": _MIXING, "op3_substring": _SUBSTRING, "op10_warc": _WARC}
+
+
+def _centroids_sql(rounds: int = centroids.ROUNDS, k: int = centroids.CENTROIDS) -> str:
+    """One assignment and one move per round."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS (
+  SELECT v.row, min(list_sum(list_transform(range(1, {centroids.DIM + 1}), lambda j: (v.e[j] - c.e[j]) * (v.e[j] - c.e[j]))) * {k} + c.c) AS best
+  FROM v, c{i} c GROUP BY v.row
+)""")
+        if i < rounds:
+            steps.append(f"""m{i} AS (
+  SELECT best % {k} AS c, unnest(range(1, {centroids.DIM + 1})) AS j, unnest(e) AS x FROM a{i} JOIN v USING (row)
+), f{i} AS (
+  SELECT c, j, CAST(sum(x) AS HUGEINT) AS s, count(*) AS n FROM m{i} GROUP BY c, j
+), c{i + 1} AS (
+  SELECT o.c, coalesce(g.e, o.e) AS e FROM c{i} o LEFT JOIN (
+    SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS e FROM f{i} GROUP BY c
+  ) g ON o.c = g.c
+)""")
+    return f"""
+WITH w AS (
+  SELECT vec_id, embedding FROM embeddings WHERE len(embedding) = {centroids.DIM}
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), v AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), embedding) AS row, vec_id,
+    list_transform(embedding, lambda x: CAST(floor({centroids.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM w
+), c0 AS (SELECT row - 1 AS c, e FROM v WHERE row <= {k}), {", ".join(steps)}, r AS (
+  SELECT vec_id, CAST(best % {k} AS INT) AS cluster, CAST(best // {k} AS BIGINT) AS distance FROM a{rounds} JOIN v USING (row)
+)
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.e, ',')) AS centroid_sha256
+FROM r JOIN c{rounds} c ON r.cluster = c.c
+"""
+
+
+_PHRASES = r"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang, doc_id,
+    unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM t
+), g AS (
+  SELECT lang, k, list_transform(range(1, len(words) - k + 2), lambda i: array_to_string(words[i:i + k - 1], ' ')) AS found
+  FROM w, (VALUES (1), (2), (3)) AS s(k) WHERE len(words) >= k
+), f AS (
+  SELECT lang, k, phrase, count(*) AS f FROM (SELECT lang, k, unnest(found) AS phrase FROM g) GROUP BY lang, k, phrase
+), n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang
+), c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS words FROM f WHERE k > 1 AND f >= 10
+), x AS (
+  SELECT c.lang, c.phrase, c.a, j, p.f AS l, q.f AS r, CAST(1000000 * CAST(c.a AS HUGEINT) * c.a // (CAST(p.f AS HUGEINT) * q.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
+  JOIN f p ON p.lang = c.lang AND p.k = c.j AND p.phrase = array_to_string(c.words[1:c.j], ' ')
+  JOIN f q ON q.lang = c.lang AND q.k = c.k - c.j AND q.phrase = array_to_string(c.words[c.j + 1:], ' ')
+), b AS (
+  SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), h AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, a, unnest([array_to_string(words[1:2], ' '), array_to_string(words[2:3], ' ')]) AS phrase FROM c WHERE k = 3
+  ) GROUP BY lang, phrase
+), o AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+  FROM b LEFT JOIN h ON h.lang = b.lang AND h.phrase = b.phrase WHERE longer IS NULL OR 100 * longer < 50 * a
+)
+SELECT o.lang, rank, phrase, a, l, r, n, score FROM o JOIN n ON n.lang = o.lang WHERE rank <= 2000
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_mixing": _MIXING, "op3_substring": _SUBSTRING, "op10_warc": _WARC, "op12_centroids": _centroids_sql(), "op13_phrases": _PHRASES,
+}
