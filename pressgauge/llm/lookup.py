@@ -1,4 +1,4 @@
-"""Join with a table of groups whose number is checked before it is broadcast."""
+"""Join with a table of groups whose number is checked before it is broadcast; column names that clash with nothing."""
 
 from __future__ import annotations
 
@@ -22,3 +22,21 @@ def group_join(rows: DataFrame, groups: DataFrame, key: str, count: str) -> Data
         same = rows[key].eqNullSafe(named["_key"])
         return rows.join(F.broadcast(named), same).drop("_key", count)
     return counted_join(rows, groups, key, count).drop(count)
+
+
+def numbered_columns(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with columns ``c0``, ``c1``, ... and the new name of each old one, so that no added column clashes."""
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
+def named_back(rows: DataFrame, names: dict[str, str]) -> DataFrame:
+    """The columns that :func:`numbered_columns` renamed, under their old names and in their old order."""
+    return rows.select(*[F.col(new).alias(old) for old, new in names.items()])
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, or with the first number behind it that no column of ``docs`` has; letter case does not count."""
+    taken = {c.lower() for c in docs.columns}
+    numbered = (f"{name}_{i}" for i in range(1, len(taken) + 2))
+    return name if name.lower() not in taken else next(n for n in numbered if n.lower() not in taken)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressgauge.llm.lookup import group_join
+from pressgauge.llm.lookup import group_join, named_back, numbered_columns
 from pressgauge.operators.ids import assign_ids
 from pressgauge.session import cut_lineage
 
@@ -108,9 +108,14 @@ def plan(
     )
 
 
-def mix(docs: DataFrame, **settings) -> DataFrame:
-    """The mixed rows with the columns of ``docs``: each document as often as its plan says."""
-    planned = plan(docs, **settings)
-    return planned.withColumn(
-        "_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))
-    ).select(*[F.col(f"`{c}`") for c in docs.columns])
+def mix(
+    docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **settings
+) -> DataFrame:
+    """The mixed rows with the columns of ``docs``: each document as often as its plan says.
+
+    Columns that are called like those of the plan keep their values.
+    """
+    rows, names = numbered_columns(docs)
+    planned = plan(rows, names[id_col], names[source_col], names[text_col], **settings)
+    copies = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))
+    return named_back(planned.withColumn("_copy", copies), names)

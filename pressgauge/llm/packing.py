@@ -30,6 +30,8 @@ END_ID = 0
 #: Rounds of prices in one solution of the program, and how strongly a covered length falls in price.
 ROUNDS = 24
 STEP = 0.35
+#: Rounds after which prices are near enough to count the configurations they ask for.
+WARM = 8
 #: The program is solved again for what rounding left, at most so often.
 PASSES = 4
 _workers: dict[str, Encoder] = {}
@@ -113,13 +115,13 @@ def solve(counts: np.ndarray, limit: int, rounds: int = ROUNDS) -> dict[Pattern,
     """Configurations with fractional numbers that cover no length more than once over.
 
     In every round each length still in demand gets the configuration that is worth most with it, as far as the round's
-    unit of every length in it lasts. The sum over the rounds is divided by the greatest cover of a length.
+    unit of every length in it lasts. The sum over the rounds after ``WARM`` is divided by the greatest cover of a length.
     """
     lengths = np.flatnonzero(counts)
     demand = counts[lengths].astype(float)
     prices, covered, total = lengths / limit, np.zeros(len(lengths)), {}
     place = {int(n): i for i, n in enumerate(lengths)}
-    for _ in range(rounds):
+    for turn in range(rounds):
         _, take = _knapsack(lengths, prices, limit)
         left = np.ones(len(lengths))
         for first in lengths[::-1].tolist():
@@ -131,11 +133,12 @@ def solve(counts: np.ndarray, limit: int, rounds: int = ROUNDS) -> dict[Pattern,
             if times > 0:
                 for i, (_, k) in zip(at, pattern):
                     left[i] = max(0.0, left[i] - k * times / demand[i])
-                total[pattern] = total.get(pattern, 0.0) + times
-        covered += 1 - left
+                if turn >= WARM:
+                    total[pattern] = total.get(pattern, 0.0) + times
+        covered += (1 - left) * (turn >= WARM)
         prices = prices * np.exp(-STEP * (1 - left))
         prices = prices / max(prices.max(), 1e-300)
-    most = covered.max() if len(covered) else 1.0
+    most = covered.max(initial=0.0) or 1.0
     return {pattern: times / most for pattern, times in total.items()}
 
 

@@ -10,6 +10,7 @@ equal hashes and equal bits only add phrases to the exact count, which drops the
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -92,6 +93,14 @@ class _Table:
     def __init__(self, bits: np.ndarray, filter_bits: int):
         self.bits, self.filter_bits = bits, filter_bits
 
+    def __getstate__(self) -> tuple:
+        """Few bits are set in small corpora, so they are sent packed."""
+        return self.bits.shape, self.filter_bits, zlib.compress(self.bits.tobytes(), 1)
+
+    def __setstate__(self, state: tuple) -> None:
+        shape, self.filter_bits, packed = state
+        self.bits = np.frombuffer(zlib.decompress(packed), np.uint64).reshape(shape)
+
     def has(self, h: np.ndarray, shards: np.ndarray | None = None) -> np.ndarray:
         """Is the hash set for its shard, or (without shards) for any?"""
         place = h >> np.uint64(64 - self.filter_bits)

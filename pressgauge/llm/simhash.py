@@ -18,8 +18,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressgauge.llm.links import components, settle
+from pressgauge.llm.lookup import named_back, numbered_columns
 from pressgauge.llm.scan import utf8
-from pressgauge.operators.skew import counted_join
+from pressgauge.operators.skew import counted_join, skewed_join
 from pressgauge.session import cut_lineage
 
 SHINGLE_WORDS = 4
@@ -172,3 +173,22 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     order = Window.partitionBy(id_col).orderBy(F.col(text_col).asc_nulls_first())
     one = named.withColumn("_nth", F.row_number().over(order)).filter("_nth = 1").drop("_nth")
     return one.unionByName(docs.filter(F.col(id_col).isNull()))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``docs``, all columns, with one row of each group: that with the smallest id, then the least hash of its text.
+
+    Groups are those of the fingerprints, so rows that share an id but not their text are told apart. Rows without an id come
+    last in their group. Of rows that share both id and text one stays. Null, empty and blank texts
+    have fingerprint zero and are one group. An empty table stays empty.
+    """
+    rows, names = numbered_columns(docs)
+    key = F.col(names[id_col])
+    keyed = rows.withColumn("key", F.struct(key.isNull().alias("none"), key.alias("id"), F.xxhash64(names[text_col]).alias("text")))
+    groups = near_duplicates(keyed.select("key", names[text_col]), "key", names[text_col])
+    first = cut_lineage(
+        groups.filter(F.col("key") == F.col("component_id")).groupBy("key").agg(F.count(F.lit(1)).alias("times")), "firsts"
+    )
+    kept = skewed_join(keyed, first, "key", "inner")
+    one = kept.filter("times = 1").unionByName(kept.filter("times > 1").dropDuplicates(["key"]))
+    return named_back(one, names)

@@ -24,6 +24,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from pressgauge.llm.links import settle
+from pressgauge.llm.lookup import named_back, numbered_columns
 from pressgauge.llm.scan import Words, grams, pieces, sliding, utf8
 from pressgauge.session import cut_lineage
 
@@ -309,17 +310,29 @@ def remove_repeated(
     """``docs`` with repeated passages cut out of the text, and ``n_words`` and ``n_removed`` as columns.
 
     White space between words that stay is kept as it is; one space joins the parts on either side
-    of a cut. A text without a cut is unchanged, null included.
+    of a cut. A text without a cut is unchanged, null included. Columns of ``docs`` called ``n_words`` or ``n_removed`` give
+    way to the counts; :func:`cut_texts` keeps them.
     """
-    spans = repeated_spans(docs, window, id_col, text_col).select(
+    rows, names = numbered_columns(docs)
+    key, text = names[id_col], names[text_col]
+    spans = repeated_spans(rows, window, key, text).select(
         F.col("id").alias("_id"), F.col("th").alias("_th"), F.col("spans").alias("_spans")
     )
-    same = (F.col(id_col) == F.col("_id")) & (F.xxhash64(text_col) == F.col("_th"))
-    joined = docs.join(spans, same, "left")
-    return (
-        joined.withColumn("_cut", _without(F.col(text_col), F.col("_spans")))
-        .withColumn(text_col, F.col("_cut.text"))
-        .withColumn("n_words", F.col("_cut.n_words"))
-        .withColumn("n_removed", F.col("_cut.n_removed"))
-        .drop("_id", "_th", "_spans", "_cut")
-    )
+    same = (F.col(key) == F.col("_id")) & (F.xxhash64(text) == F.col("_th"))
+    cut = rows.join(spans, same, "left").withColumn("_cut", _without(F.col(text), F.col("_spans")))
+    kept = [F.col("_cut.text" if c == text_col else new).alias(c) for c, new in names.items() if c.lower() not in ("n_words", "n_removed")]
+    return cut.select(*kept, F.col("_cut.n_words").alias("n_words"), F.col("_cut.n_removed").alias("n_removed"))
+
+
+def cut_texts(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None) -> DataFrame:
+    """``docs`` with repeated passages cut out of the text and no column more.
+
+    ``length_col``, if ``docs`` has it, gets the number of characters left in each text that was cut.
+    """
+    rows, names = numbered_columns(docs)
+    cut = remove_repeated(rows, window, names[id_col], names[text_col])
+    if length_col in names:
+        length = names[length_col]
+        left = F.length(names[text_col]).cast(rows.schema[length].dataType)
+        cut = cut.withColumn(length, F.when(F.col("n_removed") > 0, left).otherwise(F.col(length)))
+    return named_back(cut, names)

@@ -17,10 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from pressgauge.llm.sample import labelled_sample
 from pressgauge.llm.scan import NOT_LETTER, Words, mix, pieces, utf8
+from pressgauge.session import cut_lineage
 
 #: The chain: name and SQL condition over the columns of a label row.
 CATEGORIES = (("low_quality", "quality = 0"), ("toxic_prose", "toxic = 1 AND quality = 1"), ("toxic", "toxic = 1"))
@@ -32,7 +33,6 @@ BEGINNINGS = (4, 5, 6)
 #: A feature is used if at least so many sampled rows have it and its chi-squared is above the limit (0.1 %).
 LEAST_ROWS = 5
 LEAST_CHI2 = 10.83
-MAX_FEATURES = 1_024
 THRESHOLD = 0.5
 _STEPS, _RATE, _RIDGE = 150, 0.15, 2e-4
 _FILTER_BITS = 20
@@ -78,8 +78,7 @@ def _fit_link(
     expected = has * share
     spread = expected * (1 - share) * (1 - has / max(1, n)) + 1e-9
     chi2 = np.where(has >= LEAST_ROWS, (hit - expected) ** 2 / spread, 0)
-    order = np.argsort(-chi2, kind="stable")[:MAX_FEATURES]
-    chosen = np.sort(order[chi2[order] > LEAST_CHI2])
+    chosen = np.flatnonzero(chi2 > LEAST_CHI2)
     place = np.full(len(kinds), -1)
     place[chosen] = np.arange(len(chosen))
     keep = place[index] >= 0
@@ -122,19 +121,10 @@ class Chain:
         self.names = names
         self.links: list[Link] = []
 
-    def fit(self, rows: np.ndarray, features: np.ndarray, labels: np.ndarray, folds: np.ndarray) -> Chain:
-        """Rows and features as distinct pairs; ``labels`` has a column per category."""
+    def fit(self, kinds: np.ndarray, rows: np.ndarray, index: np.ndarray, labels: np.ndarray, folds: np.ndarray) -> Chain:
+        """Distinct pairs of a row and a feature (``kinds[index]``, sorted); ``labels`` has a column per category."""
         n = len(labels)
         before = np.zeros((n, 0))
-        # Most features are rare; a coarse count drops most of them before the costly sort.
-        coarse = (features & np.uint64((1 << _FILTER_BITS + 2) - 1)).astype(np.int32)
-        often = np.bincount(coarse, minlength=1 << _FILTER_BITS + 2)[coarse] >= LEAST_ROWS
-        rows, features = rows[often], features[often]
-        kinds, index = np.unique(features, return_inverse=True)
-        common = np.bincount(index, minlength=len(kinds)) >= LEAST_ROWS
-        keep = common[index]
-        rows, index = rows[keep], (np.cumsum(common) - 1)[index[keep]]
-        kinds = kinds[common]
         for c in range(labels.shape[1]):
             y, unseen = labels[:, c], np.zeros(n)
             for fold in range(FOLDS):
@@ -171,10 +161,17 @@ class Chain:
 def fit(
     docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, categories=CATEGORIES, id_col: str = "doc_id"
 ) -> Chain:
-    """Fit on at most ``rows`` labelled documents; a null label counts as no. Without any row every probability is about 0."""
+    """Fit on at most ``rows`` labelled documents; a null label counts as no. Without any row every probability is about 0.
+
+    Spark counts the features of the sample and the driver gets those of ``LEAST_ROWS`` rows or more, first as values and then as numbers
+    per row, so what it holds is bounded by the sample. How much a feature tells is judged per category and fold from these.
+    """
     marks = [F.coalesce(F.expr(condition), F.lit(False)).cast("double").alias(f"_y{i}") for i, (_, condition) in enumerate(categories)]
     chosen = labelled_sample(docs, labels, rows, id_col=id_col)
     fold = (F.crc32(F.col(id_col).cast("string")) % FOLDS).alias("_fold")
+    narrow = chosen.select("text", fold, *marks)
+    out = StructType([StructField("features", ArrayType(LongType())), *narrow.schema.fields[1:]])
+    schema = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,16 +185,37 @@ def fit(
                 column = pa.array(each, pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([column, *(batch.column(i).slice(a, b - a) for i in range(1, batch.num_columns))], schema=schema)
 
-    narrow = chosen.select("text", fold, *marks)
-    out = StructType([StructField("features", ArrayType(LongType())), *narrow.schema.fields[1:]])
-    schema = to_arrow_schema(out)
-    table = narrow.mapInArrow(run, out).toArrow().combine_chunks()
+    found = cut_lineage(narrow.mapInArrow(run, out), "features")
+    common = found.select(F.explode("features").alias("f")).groupBy("f").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST_ROWS)
+    kinds = np.sort(common.select("f").toArrow().column("f").to_numpy().view(np.uint64))
+    shared = docs.sparkSession.sparkContext.broadcast(kinds)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(0)
+            values = lists.flatten().to_numpy().view(np.uint64)
+            of = np.repeat(np.arange(len(batch)), [len(x) for x in lists])
+            at = np.searchsorted(shared.value, values)
+            same = np.zeros(len(at), bool)
+            inside = at < len(shared.value)
+            same[inside] = shared.value[at[inside]] == values[inside]
+            sizes = np.bincount(of[same], minlength=len(batch))
+            offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+            column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(at[same].astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([column, *batch.columns[1:]], schema=numbers)
+
+    whole = StructType([StructField("features", ArrayType(IntegerType())), *narrow.schema.fields[1:]])
+    numbers = to_arrow_schema(whole)
+    table = found.mapInArrow(number, whole).toArrow().combine_chunks()
+    shared.destroy()
     chain = Chain([name for name, _ in categories])
-    lists = table.column("features")
-    features = lists.combine_chunks().flatten().to_numpy().view(np.uint64) if len(table) else np.zeros(0, np.uint64)
-    sizes = np.array([len(x) for x in lists], np.int64)
-    y = np.column_stack([table.column(f"_y{i}").to_numpy() for i in range(len(categories))]) if len(table) else np.zeros((0, len(categories)))
-    return chain.fit(np.repeat(np.arange(len(table)), sizes), features, y, table.column("_fold").to_numpy())
+    if not len(table):
+        return chain.fit(kinds, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, len(categories))), np.zeros(0, np.int64))
+    lists = table.column("features").combine_chunks()
+    sizes = np.diff(lists.offsets.to_numpy())
+    y = np.column_stack([table.column(f"_y{i}").to_numpy() for i in range(len(categories))])
+    index = lists.flatten().to_numpy().astype(np.int64)
+    return chain.fit(kinds, np.repeat(np.arange(len(table)), sizes), index, y, table.column("_fold").to_numpy())
 
 
 def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

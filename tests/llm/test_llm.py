@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pressgauge.llm import (
-    ctph, links, mixing, perplexity, quality, queries, resemblance, simhash, substring, subwords, tokens, toxicity, warc,
+    ctph, links, mixing, perplexity, quality, queries, simhash, substring, subwords, tokens, toxicity, warc,
 )
 from pressgauge.session import scratch_dir, ship_package
 
@@ -56,7 +56,7 @@ def none(odd):
 
 def test_queries_with_sql(spark, sf_dir):
     con = duckdb.connect()
-    for name in ("documents", "pages"):
+    for name in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
     for name, sql in queries.ORACLE.items():
         result = con.execute(sql)
@@ -393,31 +393,51 @@ def test_warc_repeated_and_null_ids(spark, tmp_path):
     assert all(len(r["requests"]) == len(r["metadata"]) == 1 for r in made)
 
 
-def word_shingles(text):
-    words = WORD.findall("".join(c.lower() if c.isascii() else c for c in text or ""))
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
-
-
 def test_pipeline_drops_planted_near_copies(spark, sf_dir):
+    """One row of each group by the fingerprints' bits; rows that share an id are told apart by their texts."""
     rng = random.Random(4)
-    rows, planted = [], {}
-    for i in range(90):
+    rows = []
+    for i in range(60):
         words = [f"w{rng.randint(0, 5000)}" for _ in range(600)]
-        rows.append((i, " ".join(words)))
-        # Words changed far apart cost five shingles each.
-        changed = words[:]
-        for k in range((13, 6, 3)[i % 3]):
-            changed[20 + 40 * k] = f"new{k}"
-        rows.append((1000 + i, " ".join(changed)))
-        planted[1000 + i] = i
-    far = [f"w{rng.randint(0, 5000)}" for _ in range(300)]
-    rows += [(2000, " ".join(far)), (2001, " ".join(far[:240] + [f"x{i}" for i in range(60)])), (5, "no copy of the other row with this id")]
-    sets = {i: word_shingles(t) for i, t in rows[:-1]}
-    likeness = {b: len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for b, a in planted.items()}
-    assert all(0 <= x - (0.8, 0.9, 0.95)[i % 3] < 0.005 for i, x in enumerate(likeness.values()))
+        changed = [w if k % 300 or not i % 3 else f"new{k}" for k, w in enumerate(words)]
+        rows += [(i, " ".join(words)), (1000 + i, " ".join(changed))]
+    rows += [(5, "no copy of the other row with this id"), (7, rows[14][1]), (None, rows[0][1]), (None, "alone without an id"), (None, "alone without an id")]
+    keys = {n: (i is None, i or 0, n) for n, (i, _) in enumerate(rows)}
+    root = plain_components({n: plain_fingerprint(t) for n, (_, t) in enumerate(rows)})
+    want = Counter()
+    for group in set(root.values()):
+        first = min((n for n in root if root[n] == group), key=keys.get)
+        want[rows[first]] += 1
     got = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf_dir)
-    want = [(i, t) for i, t in rows if likeness.get(i, 0) < 0.8]
-    assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter(want)
+    assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == want
+
+
+def test_pipeline_stages_on_odd_rows(spark, sf_dir):
+    """Nulls in any column, empty and long texts, ties, repeated rows and clashing names, with what each stage makes of them."""
+    names = "size long, n_words long, n_removed long, copies string, key string, id string, _id string, ids string, fp string, c0 string"
+    extra = (11, 12, 13, "copies", "key", "id", "_id", "ids", "fp", "c0")
+    rows = [(i, t, "en" if i % 2 else None, None if i % 3 else "s", 7) for i, t in enumerate(ODD)]
+    rows += [rows[4], (None, "no id", None, None, None), (3, "again three", "en", "s", 1), (None, LONG, None, "s", None)]
+    docs = spark.createDataFrame([r + extra for r in rows], f"doc_id long, text string, lang string, source string, n_chars long, {names}")
+    plain = lambda df: Counter(tuple(r) for r in df.collect())
+    clean, single, cut, mixed, coded = (stage for _, stage in corpus_pipeline.STAGES)
+    assert plain(clean(spark, docs, sf_dir)) == plain(docs)
+    one = single(spark, docs, sf_dir)
+    kept = {(r["doc_id"], r["text"]) for r in one.collect()}
+    assert one.columns == docs.columns and one.count() == len(kept)
+    assert [x for x in kept if x[0] in (0, 1, 2)] == [(0, None)] and {(3, "a"), (3, "again three"), (None, "no id"), (4, ODD[4])} <= kept
+    assert (None, LONG) not in kept and (5, ODD[5]) not in kept and plain(one) <= plain(docs)
+    less = cut(spark, docs, sf_dir)
+    want = Counter((9, "end", None if 9 % 2 == 0 else "en", "s", 3) + extra if r[0] == 9 else r + extra for r in rows)
+    assert less.columns == docs.columns and plain(less) == want
+    spread = mixed(spark, docs, sf_dir)
+    copies = Counter(r["doc_id"] for r in spread.collect())
+    planned = mixing.plan(docs.drop("size", "copies")).collect()
+    assert copies == +sum((Counter({r["doc_id"]: r["copies"]}) for r in planned), Counter())
+    assert spread.columns == docs.columns and set(plain(spread)) <= set(plain(docs))
+    last = coded(spark, docs, sf_dir)
+    assert last.columns == [*docs.columns, "ids_1"] and plain(last.select(*docs.columns)) == plain(docs)
+    assert {r["doc_id"]: r["ids_1"] for r in last.collect() if r["doc_id"] in (0, 1)} == {0: [], 1: []}
 
 
 def test_pipeline(spark, sf_dir):
