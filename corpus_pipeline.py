@@ -1,6 +1,11 @@
 """Preparation of a training corpus in five stages over ``documents``.
 
-Each stage works on all that the stage before it kept. Every stage but the last returns the columns of documents.
+Each stage works on all that the stage before it kept. Every stage but the last returns the columns of documents, further
+columns of the table included, whatever they are called. A null text is an empty one to every stage and comes through as null:
+it is not toxic, all texts without a word are one group of near duplicates, it has no passage, size 0 and no ids. Rows
+without an id are kept apart by their text and come last in a group; their texts are neither cut nor do they cut others. Rows with
+the same id and text are one document after the second stage. A null source is a source of its own. Texts of any
+length are read whole, and an empty table passes every stage as an empty table.
 """
 
 from __future__ import annotations
@@ -13,11 +18,12 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pressgauge.llm import mixing, resemblance, substring, subwords, toxicity  # noqa: E402
+from pressgauge.llm import mixing, simhash, substring, subwords, toxicity  # noqa: E402
+from pressgauge.llm.lookup import free_name  # noqa: E402
 from pressgauge.session import cut_lineage, ship_package  # noqa: E402
 
 PIECES = "piece_bpe_32k.model"
-#: SQL for the rows of run(): SQL can't express the classifier, the shingle hashes or the merges.
+#: SQL for the rows of run(): SQL can't express the classifier, the fingerprints or the merges.
 ORACLE_SQL = None
 
 
@@ -29,19 +35,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: five-word shingles, Jaccard similarity of 0.8 or more."""
+    """One document of each group that SimHash links: four-word shingles, four or fewer other bits of the fingerprints."""
     ship_package(spark)
-    return resemblance.keep_first(docs)
+    return simhash.keep_one(docs)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier document has; ``n_chars`` counts what is left."""
     ship_package(spark)
-    cut = substring.remove_repeated(docs)
-    length = F.length("text").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None
-    if length is not None:
-        cut = cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, length).otherwise(F.col("n_chars")))
-    return cut.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return substring.cut_texts(docs, length_col="n_chars")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,17 +52,17 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the ids of their pieces."""
+    """Documents with the ids of their pieces as ``ids``, or ``ids_1`` and so on where a column has that name."""
     ship_package(spark)
     import public_tokenizers
 
     codec = subwords.Codec.fit(docs, public_tokenizers.path(PIECES))
-    return docs.withColumn("ids", codec.encode(F.col("text")))
+    return docs.withColumn(free_name(docs, "ids"), codec.encode(F.col("text")))
 
 
 STAGES = [
     ("toxicity", drop_toxic),
-    ("shingle near-dedup", drop_near_duplicates),
+    ("simhash near-dedup", drop_near_duplicates),
     ("substring dedup", drop_repeated_passages),
     ("mixing", mix_sources),
     ("sentencepiece", encode),
