@@ -781,6 +781,26 @@ ORACLE: dict[str, str] = {
         ["news"],
         'SELECT "index", topic, link FROM news WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)',
     ),
+    "dedup_indexed": build(
+        ["labelled"],
+        'SELECT "index", link, content_hash FROM news WHERE content_hash NOT IN (SELECT content_hash FROM labelled)',
+    ),
+    "store_compacted": build(
+        ["labelled"],
+        'SELECT "index", CAST(CASE WHEN "index" IN (SELECT "index" FROM labelled) THEN 0 ELSE 1 END AS BIGINT) AS batch_id, '
+        "link, content_hash, date_extract, content_nchar FROM news WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)",
+    ),
+    "store_zones": build(
+        ["news"],
+        'SELECT "index", link, \'index\' AS "by" FROM news WHERE "index" BETWEEN 100 AND 853 UNION ALL '
+        "SELECT \"index\", link, 'day' FROM news "
+        "WHERE date_extract BETWEEN DATE '2023-08-16' AND DATE '2023-09-01' AND regexp_matches(topic, '(?i)SRC1')",
+    ),
+    "landed_articles": build(
+        ["news"],
+        "SELECT link, title, content_hash, state, city, strftime(date_article, '%Y-%m-%d') AS date_article, content_nchar, "
+        "sha256(content) AS content_sha256 FROM news, range(2)",
+    ),
     "extractive_summary": build([DOC_SUMMARY], f"SELECT doc_id, summary FROM {DOC_SUMMARY}"),
     "doc_embedding": build(
         ["doc_words", "vecs"],

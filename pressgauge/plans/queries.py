@@ -8,6 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pressgauge import schemas
 from pressgauge.functions import dates, html, text
 from pressgauge.functions.stem import spanish_stem
 from pressgauge.operators import (
@@ -26,8 +27,8 @@ from pressgauge.operators import (
 from pressgauge.plans import bindings as b
 from pressgauge.plans.extract import extract_articles, page_candidates
 from pressgauge.plans.transform import Settings
-from pressgauge.session import cut_lineage, scratch_dir
-from pressgauge.sources import landing, store
+from pressgauge.session import cut_lineage, scratch_dir, ship_package
+from pressgauge.sources import landing, store, versioned
 from pressgauge.streaming.ingest import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -520,6 +521,50 @@ def delete_listed(spark: SparkSession, sf: str) -> DataFrame:
     return store.without_deleted(articles, b.false_positives(spark, sf))
 
 
+def _stored(articles: DataFrame) -> DataFrame:
+    """Articles with all columns of the store."""
+    missing = [f for f in schemas.NEWS if f.name not in articles.columns]
+    return articles.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}).select(*schemas.NEWS.names)
+
+
+def _two_batches(spark: SparkSession, sf: str) -> versioned.VersionedStore:
+    """A versioned store with the curated part as batch 0 and all other articles as batch 1."""
+    store_ = versioned.VersionedStore(spark, scratch_dir(spark, "store"))
+    no_entities = spark.createDataFrame([], schemas.NEWSNER)
+    curated = b.labelled(spark, sf)
+    others = b.news(spark, sf).join(curated.select("index"), "index", "left_anti")
+    for batch, articles in enumerate((curated, others)):
+        store_.write_batch(_stored(articles), no_entities, batch)
+    return store_
+
+
+@query
+def dedup_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """The collection against a store with the curated part, through the store's index of content hashes."""
+    store_ = versioned.VersionedStore(spark, scratch_dir(spark, "store"))
+    store_.write_batch(_stored(b.labelled(spark, sf)), spark.createDataFrame([], schemas.NEWSNER), 0)
+    batch = b.news(spark, sf).select("index", "link", "content_hash")
+    return dedupe.remove_known(batch, store_.known_among(batch, before_batch=1))
+
+
+@query
+def store_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """Two batches and a list of deletions as one run."""
+    store_ = _two_batches(spark, sf)
+    store_.delete(b.false_positives(spark, sf))
+    store_.compact()
+    return store_.live_news().select("index", "batch_id", "link", "content_hash", "date_extract", "content_nchar")
+
+
+@query
+def store_zones(spark: SparkSession, sf: str) -> DataFrame:
+    """Articles of an id range and of a day range, read through the ranges per file."""
+    store_ = _two_batches(spark, sf)
+    ids_ = store_.get_news_by_index(100, 853).select("index", "link", F.lit("index").alias("by"))
+    days = store_.get_news("2023-08-16", "2023-09-01", "SRC1").select("index", "link", F.lit("day").alias("by"))
+    return ids_.unionByName(days)
+
+
 # --- text mining -----------------------------------------------------------------------
 
 
@@ -600,6 +645,18 @@ def _raw_news(articles: DataFrame) -> DataFrame:
     )
 
 
+@query
+def landed_articles(spark: SparkSession, sf: str) -> DataFrame:
+    """Two landed files of quoted CSV with the same articles, read back by blocks."""
+    ship_package(spark)
+    base = scratch_dir(spark, "landing")
+    articles = _raw_news(b.news(spark, sf))
+    for stamp in ("2023-10-01_0600", "2023-10-02_0600"):
+        articles.write.options(header=True, quote='"', escape='"').csv(f"{base}/{landing.landing_name('news', stamp)}")
+    good, _ = landing.read_articles_by_blocks(spark, landing.landing_glob(base, "news"))
+    return good.select("link", "title", "content_hash", "state", "city", "date_article", "content_nchar", F.sha2("content", 256).alias("content_sha256"))
+
+
 @query
 def ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Two landings through the stream: the curated part, then the whole collection.

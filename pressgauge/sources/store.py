@@ -92,6 +92,10 @@ class ArticleStore:
             news = news.filter(F.col("batch_id") < before_batch)
         return news.select("content_hash")
 
+    def known_among(self, hashes: DataFrame, before_batch: int | None = None) -> DataFrame:
+        """Known content hashes, of the given ones at least; a store with an index reads no others."""
+        return self.known_hashes(before_batch)
+
     def next_index(self, before_batch: int | None = None) -> int:
         """First free id; deleted ids are not given out again."""
         news = self._all_news()
