@@ -3,8 +3,9 @@
 A phrase with ``support`` occurrences in all has, in some shard, at least the part of ``support`` that is the shard's part
 of the words. So every shard is mined completely at that lowered support, level by level: a phrase of k
 words is counted in a shard if both its phrases of k - 1 words are frequent there. The union of what is frequent in some
-shard is counted over all texts exactly. Shards are few, so that the lowered support stays above one; each is
-spread over many tasks. Mining counts 64-bit hashes and remembers frequent ones as bits of a table of fixed size:
+shard is counted over all texts exactly, but for phrases that cannot reach ``support``: a shard where a phrase was not counted has
+less than its local support of it. Shards are few, so that the lowered support stays well above one; each is
+spread over many tasks. Mining counts hashes and remembers frequent ones as bits of a table of fixed size:
 equal hashes and equal bits only add phrases to the exact count, which drops them.
 """
 
@@ -34,7 +35,7 @@ TOP = 2_000
 SCORE_SCALE = 1_000_000
 NO_LANG = "und"
 #: Shards have a local support of about this many.
-LOCAL_SUPPORT = 3
+LOCAL_SUPPORT = 5
 #: Bits of the table of frequent phrases, per shard.
 FILTER_BITS = 26
 #: A task hands its counts on beyond this many entries.
@@ -44,6 +45,7 @@ _SHARD_BITS = 8
 # What ends a piece, and what ends a word inside one.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 WORD_ENDS = b" \t"
+WORD = r"[^\x20\x09.,;:!?\x0A-\x0D]+"
 _BETWEEN = np.zeros(256, bool)
 _BETWEEN[list(PIECE_ENDS + WORD_ENDS)] = True
 _BREAK = np.zeros(256, bool)
@@ -114,39 +116,36 @@ class _Table:
 
 
 def _table(frequent: DataFrame, shards: int, filter_bits: int) -> Broadcast:
-    """Broadcast table of the column ``key``; its size follows from the number of shards and of bits alone."""
-    shard = F.col("key").bitwiseAND(F.lit((1 << _SHARD_BITS) - 1))
-    place = F.shiftrightunsigned("key", 64 - filter_bits)
+    """Broadcast table of the column ``base`` for the numbers in ``in_shards``; its size follows from the shards and bits alone."""
+    place = F.shiftrightunsigned("base", 64 - filter_bits)
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place.bitwiseAND(F.lit(63)).cast("int"))
-    words = frequent.groupBy(shard.alias("shard"), F.shiftright(place, 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    each = frequent.select(F.explode("in_shards").alias("shard"), "base")
+    words = each.groupBy("shard", F.shiftright(place, 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
     found = words.toArrow()
     bits = np.zeros((shards, max(1, 1 << filter_bits >> 6)), np.uint64)
     bits[found["shard"].to_numpy(), found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
     return frequent.sparkSession.sparkContext.broadcast(_Table(bits, filter_bits))
 
 
-def _mined(docs: DataFrame, k: int, parts: Broadcast | None) -> DataFrame:
-    """(lang, need, key, n): phrases of ``k`` words per shard whose parts are frequent in it, as counted by each task."""
-    names = ["lang", "need", "key", "n"]
+def _mined(docs: DataFrame, k: int, parts: Broadcast | None, shards: int) -> DataFrame:
+    """(key, n, need_0, ...): phrases of ``k`` words per shard whose parts are frequent in it, as counted by each task."""
+    needs = [f"need_{i}" for i in range(shards)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, list[tuple[np.ndarray, np.ndarray]]] = {}
         entries = 0
 
         def hand_on() -> Iterator[pa.RecordBatch]:
-            for (lang, need), some in held.items():
+            for need, some in held.items():
                 keys, counts = _tally(np.concatenate([a for a, _ in some]), np.concatenate([b for _, b in some]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(keys) if k == 1 else pa.nulls(len(keys), pa.string()), pa.string()),
-                     pa.array(np.full(len(keys), need, np.int64)), pa.array(keys.view(np.int64)), pa.array(counts)],
-                    names=names,
-                )
+                columns = [pa.array(np.full(len(keys), n, np.int64)) for n in need]
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts), *columns], names=["key", "n", *needs])
             held.clear()
 
         for batch in batches:
-            texts, langs, needs = utf8(batch.column(0)), batch.column(2).to_pylist(), batch.column(4).to_pylist()
+            texts, wanted = utf8(batch.column(0)), list(zip(*(batch.column(i).to_pylist() for i in range(3, 3 + shards))))
             lang_hash = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
-            shard = batch.column(3).to_numpy(zero_copy_only=False)
+            shard = batch.column(2).to_numpy(zero_copy_only=False)
             for a, b in pieces(texts):
                 runs = _Runs(texts[a:b], lang_hash[a:b])
                 at = runs.starts(k)
@@ -154,20 +153,34 @@ def _mined(docs: DataFrame, k: int, parts: Broadcast | None) -> DataFrame:
                 if parts is not None and len(at):
                     shorter = parts.value.has(runs.grams(k - 1), shard[a:b][of[: len(runs.hash) - k + 2]])
                     at = at[shorter[at] & shorter[at + 1]]
-                group = {}
-                group_of = np.array([group.setdefault(x, len(group)) for x in zip(langs[a:b], needs[a:b])], np.int64)
+                group: dict[tuple, int] = {}
+                group_of = np.array([group.setdefault(x, len(group)) for x in wanted[a:b]], np.int64)
                 keys, belongs = _keyed(h[at], shard[a:b][of[at]]), group_of[of[at]]
-                for name, i in group.items():
-                    tally = _tally(keys[belongs == i], np.ones(int((belongs == i).sum())))
-                    held.setdefault(name, []).append(tally)
+                for need, i in group.items():
+                    mine = keys[belongs == i]
+                    tally = _tally(mine, np.ones(len(mine)))
+                    held.setdefault(need, []).append(tally)
                     entries += len(tally[0])
                 if entries > TASK_ENTRIES:
                     yield from hand_on()
                     entries = 0
         yield from hand_on()
 
-    columns = ["text", "lang_hash", "lang", "shard", "need"]
-    return docs.select(*columns).mapInArrow(run, "lang string, need bigint, key bigint, n bigint")
+    schema = ", ".join(f"{c} bigint" for c in ["key", "n", *needs])
+    return docs.select("text", "lang_hash", "shard", *needs).mapInArrow(run, schema)
+
+
+def _possible(mined: DataFrame, shards: int, support: int) -> DataFrame:
+    """(base, in_shards): hashes that are frequent in some shard, with these shards, and may have ``support`` in all."""
+    low = F.lit((1 << _SHARD_BITS) - 1)
+    base, shard = F.col("key").bitwiseAND(~((1 << _SHARD_BITS) - 1)), F.col("key").bitwiseAND(low)
+    sums = [F.coalesce(F.sum(F.when(shard == i, F.col("n"))), F.lit(0)).alias(f"n_{i}") for i in range(shards)]
+    each = mined.groupBy(base.alias("base")).agg(*sums, *[F.min(f"need_{i}").alias(f"need_{i}") for i in range(shards)])
+    most = sum((F.when(F.col(f"n_{i}") > 0, F.col(f"n_{i}")).otherwise(F.col(f"need_{i}") - 1) for i in range(shards)), F.lit(0))
+    frequent = [F.when(F.col(f"n_{i}") >= F.col(f"need_{i}"), F.lit(i)) for i in range(shards)]
+    return each.select("base", F.array_compact(F.array(*frequent)).alias("in_shards"), most.alias("most")).filter(
+        (F.size("in_shards") > 0) & (F.col("most") >= support)
+    )
 
 
 def _counted(docs: DataFrame, tables: list[Broadcast]) -> DataFrame:
@@ -218,11 +231,12 @@ def _counted(docs: DataFrame, tables: list[Broadcast]) -> DataFrame:
     return docs.select("text", "lang_hash", "lang").mapInArrow(run, "lang string, phrase string, n bigint").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
-def _need(sizes: DataFrame, support: int) -> DataFrame:
-    """(group, lang, shard, need, n_docs): the support of ``support`` words' part that each shard's words are of all words of its language."""
-    whole = sizes.groupBy("lang").agg(F.sum("n_words").alias("all"))
-    part = F.expr(f"cast({support} * cast(n_words as decimal(20,0)) + `all` - 1 as decimal(38,0)) div `all`")
-    return sizes.join(whole, "lang").select("group", F.greatest(part.cast("bigint"), F.lit(1).cast("bigint")).alias("need"), "n_docs")
+def _needs(sizes: DataFrame, shards: int, support: int) -> DataFrame:
+    """(lang, n, n_docs, need_0, ...): the part of ``support`` words that each shard's words are of all words of its language, one at least."""
+    words = [F.coalesce(F.sum(F.when(F.col("shard") == i, F.col("n_words"))), F.lit(0)).alias(f"w_{i}") for i in range(shards)]
+    whole = sizes.groupBy("lang").agg(F.sum("n_words").alias("n"), F.sum("n_docs").alias("n_docs"), *words)
+    part = "greatest(1L, cast((cast({s} as decimal(10,0)) * cast(w_{i} as decimal(19,0)) + greatest(n, 1L) - 1) div greatest(n, 1L) as bigint)) AS need_{i}"
+    return whole.selectExpr("lang", "n", "n_docs", *[part.format(s=support, i=i) for i in range(shards)])
 
 
 def phrase_counts(
@@ -235,25 +249,15 @@ def phrase_counts(
     text = F.coalesce(F.col(text_col), F.lit(""))
     shard = F.pmod(F.xxhash64(F.col(id_col), text), F.lit(shards)).cast("bigint")
     rows = docs.select(text.alias("text"), lang.alias("lang"), F.xxhash64(lang).alias("lang_hash"), shard.alias("shard"))
-    group = F.xxhash64("lang", "shard").alias("group")
-    first = settle(
-        _mined(rows.withColumn("need", F.lit(0).cast("bigint")), 1, None).groupBy("lang", "key").agg(F.sum("n").alias("n")), "words"
-    )
-    in_shard = F.col("key").bitwiseAND(F.lit((1 << _SHARD_BITS) - 1)).alias("shard")
-    words = first.groupBy("lang", in_shard).agg(F.sum("n").alias("n_words"))
-    held = rows.groupBy("lang", "shard").agg(F.count(F.lit(1)).alias("n_docs"))
-    sizes = settle(held.join(words, ["lang", "shard"], "left").fillna(0, ["n_words"]).select("*", group), "sizes")
-    totals = settle(sizes.groupBy("lang").agg(F.sum("n_words").alias("n")), "totals")
-    need = settle(_need(sizes.filter("n_words > 0"), support), "needs")
-    bound = sizes.select("lang", "shard", "group").join(need, "group").select("lang", "shard", "need")
-    frequent = first.select("*", in_shard).join(bound, ["lang", "shard"]).filter("n >= need")
-    tables = [_table(frequent, shards, filter_bits)]
-    wide = group_join(rows.filter("text != ''").select("*", group), need, "group", "n_docs")
-    for k in range(2, most_words + 1):
-        mined = _mined(wide, k, tables[-1]).groupBy("key").agg(F.sum("n").alias("n"), F.min("need").alias("need"))
-        tables.append(_table(mined.filter("n >= need"), shards, filter_bits))
+    sizes = rows.groupBy("lang", "shard").agg(F.sum(F.regexp_count("text", F.lit(WORD))).alias("n_words"), F.count(F.lit(1)).alias("n_docs"))
+    needs = settle(_needs(sizes, shards, support), "needs")
+    wide = group_join(rows, needs.drop("n"), "lang", "n_docs")
+    tables: list[Broadcast] = []
+    for k in range(1, most_words + 1):
+        mined = _mined(wide, k, tables[-1] if tables else None, shards)
+        tables.append(_table(_possible(mined, shards, support), shards, filter_bits))
     counts = cut_lineage(_counted(rows, tables).filter(F.col("n") >= support), "phrases")
-    return counts, totals
+    return counts, needs.select("lang", "n")
 
 
 def _words_of(phrase: Column) -> Column:
