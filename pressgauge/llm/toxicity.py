@@ -158,13 +158,41 @@ class Chain:
         return before
 
 
+def _telling(found: DataFrame, categories: int) -> DataFrame:
+    """(f): features that enough rows have and whose chi-squared is high for some category, over all rows or those outside some fold.
+
+    The models choose among them by the same measure, each for its own rows.
+    """
+    sums = [F.count_if(F.col("_fold") == v).alias(f"n{v}") for v in range(FOLDS)]
+    sums += [F.coalesce(F.sum(F.when(F.col("_fold") == v, F.col(f"_y{c}"))), F.lit(0.0)).alias(f"y{c}_{v}") for c in range(categories) for v in range(FOLDS)]
+    total = found.agg(*sums).first()
+    counted = found.select(F.explode("features").alias("f"), "_fold", *[f"_y{c}" for c in range(categories)]).groupBy("f").agg(*sums)
+
+    def inside(name: str, apart: int | None, of=None):
+        """Of all folds but one: the column's sum, or that of the totals."""
+        values = [F.col(f"{name}{v}") if of is None else of[f"{name}{v}"] for v in range(FOLDS) if v != apart]
+        return sum(values[1:], values[0])
+
+    tells = F.lit(False)
+    for apart in (None, *range(FOLDS)):
+        n, has = inside("n", apart, total), inside("n", apart)
+        for c in range(categories):
+            share = inside(f"y{c}_", apart, total) / max(1, n)
+            expected = has * F.lit(float(share))
+            spread = expected * (1 - share) * (1 - has / max(1, n)) + 1e-9
+            off = inside(f"y{c}_", apart) - expected
+            # A little below the limit, for sums that differ in their last digits.
+            tells = tells | ((has >= LEAST_ROWS) & (off * off / spread > 0.999 * LEAST_CHI2))
+    return counted.filter(tells).select("f")
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, categories=CATEGORIES, id_col: str = "doc_id"
 ) -> Chain:
     """Fit on at most ``rows`` labelled documents; a null label counts as no. Without any row every probability is about 0.
 
-    Spark counts the features of the sample and the driver gets those of ``LEAST_ROWS`` rows or more, first as values and then as numbers
-    per row, so what it holds is bounded by the sample. How much a feature tells is judged per category and fold from these.
+    Spark counts the features of the sample per fold and category, and the driver gets only those that tell something about a category, first
+    as values and then as numbers per row. What it holds is bounded by the sample.
     """
     marks = [F.coalesce(F.expr(condition), F.lit(False)).cast("double").alias(f"_y{i}") for i, (_, condition) in enumerate(categories)]
     chosen = labelled_sample(docs, labels, rows, id_col=id_col)
@@ -186,8 +214,8 @@ def fit(
                 yield pa.RecordBatch.from_arrays([column, *(batch.column(i).slice(a, b - a) for i in range(1, batch.num_columns))], schema=schema)
 
     found = cut_lineage(narrow.mapInArrow(run, out), "features")
-    common = found.select(F.explode("features").alias("f")).groupBy("f").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST_ROWS)
-    kinds = np.sort(common.select("f").toArrow().column("f").to_numpy().view(np.uint64))
+    telling = _telling(found, len(categories))
+    kinds = np.sort(telling.toArrow().column("f").to_numpy().view(np.uint64))
     shared = docs.sparkSession.sparkContext.broadcast(kinds)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
