@@ -826,6 +826,14 @@ ORACLE: dict[str, str] = {
         'SELECT doc_id, CAST(rk AS INTEGER) AS "rank", term, tf, df, round(weight, 5) AS weight FROM ('
         "SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY weight DESC, term) AS rk FROM tfidf) WHERE rk <= 10",
     ),
+    "ingest_ordered": build(
+        ["stored_scores", "ner"],
+        f"""
+SELECT id AS "index", CAST(batch_id + 1 AS BIGINT) AS batch_id, content_hash, link, date_extract, content_nchar,
+       score AS summary_sim_score, coalesce(n, 0) AS n_entities, CAST(1 AS BIGINT) AS n_unparsed
+FROM stored JOIN {STORED_SUMMARY} USING (id) JOIN stored_scores USING (id)
+LEFT JOIN (SELECT "index" - 1 AS doc_id, count(*) AS n FROM ner GROUP BY 1) USING (doc_id)""",
+    ),
     "ingest_stream": build(
         ["stored_scores", "ner"],
         f"""
