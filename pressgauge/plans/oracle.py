@@ -781,6 +781,8 @@ ORACLE: dict[str, str] = {
         ["news"],
         'SELECT "index", topic, link FROM news WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)',
     ),
+    "topic_facts": "SELECT CAST(topic AS INTEGER) AS topic, CAST(10 AS BIGINT) AS n_words, true AS descending, true AS shares, true AS known "
+    "FROM range(122) AS t(topic)",
     "dedup_indexed": build(
         ["labelled"],
         'SELECT "index", link, content_hash FROM news WHERE content_hash NOT IN (SELECT content_hash FROM labelled)',

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pressgauge import schemas
@@ -623,6 +623,26 @@ def lda_topics(spark: SparkSession, sf: str) -> DataFrame:
     return topics.topic_words(model, vocabulary, 10)
 
 
+@query
+def topic_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """What holds of the topics' words whatever the model: ten different words of the collection, heaviest first."""
+    docs = b.table(spark, sf, "documents").select("doc_id", "text")
+    counts = cut_lineage(topics.term_counts(docs, "doc_id", "text", b.STOP_WORDS), "counts")
+    terms = topics.term_ids(counts)
+    model = topics.fit_topics(topics.weighted_vectors(counts, terms, "doc_id"))
+    found = topics.topic_terms(model, terms, 10)
+    heavier = F.lag("weight").over(Window.partitionBy("topic").orderBy("position"))
+    return (
+        found.withColumn("falls", F.coalesce(F.col("weight") <= heavier, F.lit(True)))
+        .join(counts.groupBy("term").agg(F.sum("tf").alias("tf")), "term")
+        .groupBy("topic")
+        .agg(
+            F.count_distinct("term").alias("n_words"), F.bool_and("falls").alias("descending"),
+            F.bool_and((F.col("weight") > 0) & (F.col("weight") < 1)).alias("shares"), F.bool_and(F.col("tf") > 0).alias("known"),
+        )
+    )
+
+
 # --- streaming -------------------------------------------------------------------------
 
 
