@@ -128,7 +128,7 @@ def _placed(docs: DataFrame) -> DataFrame:
     return (
         docs.select("id", "key", "text")
         .mapInArrow(run, f"bucket int, guest int, id {kind}, key bigint, text string")
-        .repartition(parts, "bucket")
+        .repartitionById(parts, "bucket")
         .sortWithinPartitions("bucket", "guest", "key", "text")
     )
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pressgauge.llm import (
     centroids, ctph, mixing, packing, perplexity, phrases, quality, simhash, substring, subwords, tokens, toxicity, warc,
 )
+from pressgauge.operators.skew import skewed_join
 from pressgauge.session import cut_lineage, scratch_dir, ship_package
 
 MAX_TOKENS = 2048
@@ -94,10 +95,13 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.regexp_extract(F.col("metadata")[0]["block"], r"page-id: (-?\d+)", 1).try_cast("bigint").alias("page_id"),
     )
     pages = cut_lineage(whole, "captures")
-    known = pages.filter(F.col("response.type") == "response").select(
-        F.col("record_id").alias("_id"), F.col("page_id").alias("refers_to")
-    ).distinct()
-    return pages.join(known, pages["response.refers_to"] == known["_id"], "left").select(
+    is_response = F.col("response.type") == "response"
+    known = pages.filter(is_response).select(F.col("record_id").alias("_id"), F.col("page_id").alias("refers_to")).distinct()
+    # Only revisits are joined: the responses, which refer to nothing, would all meet in one task.
+    revisits = pages.filter(~is_response).withColumn("_id", F.col("response.refers_to"))
+    named = skewed_join(revisits, known, "_id", max_hot=warc.HOT_KEYS).select("page_id", "response", "refers_to")
+    nothing = pages.filter(is_response).select("page_id", "response", F.lit(None).cast(known.schema["refers_to"].dataType).alias("refers_to"))
+    return named.unionByName(nothing).select(
         "page_id", "response.payload_bytes", "response.payload_digest",
         F.col("response.type").alias("record_type"), "refers_to",
     )

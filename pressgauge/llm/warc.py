@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import StringType
 
+from pressgauge.llm.links import settle
 from pressgauge.llm.scan import utf8
-from pressgauge.operators.skew import skewed_join
+from pressgauge.operators.skew import counted_join, skewed_join
 from pressgauge.session import cut_lineage
 
 # Fixed values of the format.
@@ -27,6 +28,8 @@ END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Smaller payloads are always written as responses.
 LEAST_BYTES = 0
+#: At most so many keys, those with more than this part of all rows, are joined by a broadcast; the rest are shuffled.
+HOT_KEYS = 1_000
 DATE = "1970-01-01T00:00:00Z"
 
 
@@ -67,10 +70,13 @@ def _decided(pages: DataFrame, least_bytes: int) -> DataFrame:
     )
     keys = cut_lineage(rows.filter(F.col("id").isNotNull() & (F.col("size") >= least_bytes)).select("id", "url", "digest"), "digests")
     last = keys.groupBy("digest").agg(F.max(F.struct("id", "url")).alias("last"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    again = keys.join(last, "digest").filter("id < last.id").select(
+    # A payload of many pages meets its last page without a shuffle of its rows.
+    again = counted_join(keys, settle(last, "last"), "digest", "n", HOT_KEYS).filter("id < last.id").select(
         "id", "digest", F.col("last.id").alias("refers"), F.col("last.url").alias("refers_url")
     ).distinct()
-    return rows.join(again, ["id", "digest"], "left")
+    # Rows without id refer to nothing, so they need no join, which would deal all of them to one task.
+    nameless = rows.filter(F.col("id").isNull()).withColumns({"refers": F.lit(None).cast(again.schema["refers"].dataType), "refers_url": F.lit(None).cast("string")})
+    return rows.filter(F.col("id").isNotNull()).join(again, ["id", "digest"], "left").unionByName(nameless)
 
 
 def write_archives(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES, date: str = DATE) -> None:
@@ -235,5 +241,6 @@ def captures(records: DataFrame) -> DataFrame:
 
     main = records.filter(F.col("type").isin("response", "revisit"))
     main = main.select("record_id", F.struct("type", *inner).alias("response"))
-    joined = skewed_join(skewed_join(main, part("request", "requests"), "record_id"), part("metadata", "metadata"), "record_id")
+    with_requests = skewed_join(main, part("request", "requests"), "record_id", max_hot=HOT_KEYS)
+    joined = skewed_join(with_requests, part("metadata", "metadata"), "record_id", max_hot=HOT_KEYS)
     return joined.withColumns({c: F.coalesce(c, F.array()) for c in ("requests", "metadata")})
