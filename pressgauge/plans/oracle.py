@@ -635,6 +635,20 @@ ORACLE: dict[str, str] = {
     "word_vectors": build(
         ["vecs"], "SELECT rank, word, round(sqrt(list_inner_product(vec, vec)), 4) AS norm FROM vecs"
     ),
+    "topic_similarity_many": build(
+        ["doc_words", "vecs"],
+        f"""
+SELECT d.doc_id, round(coalesce(sum(best), 0) / (SELECT count(*) FROM vecs WHERE rank < 2000), 4) AS score
+FROM documents d LEFT JOIN (
+  SELECT doc_id, pos, max(sim) AS best
+  FROM (SELECT DISTINCT doc_id, word FROM doc_words WHERE word NOT IN ({listed(b.STOP_WORDS)}))
+  JOIN (
+    SELECT v.word, k.rank AS pos, list_inner_product(v.vec, k.vec)
+      / (sqrt(list_inner_product(v.vec, v.vec)) * sqrt(list_inner_product(k.vec, k.vec))) AS sim
+    FROM vecs v, vecs k WHERE k.rank < 2000
+  ) USING (word) GROUP BY doc_id, pos
+) USING (doc_id) GROUP BY d.doc_id""",
+    ),
     "vocabulary_similarity": build(
         ["sims"], "SELECT word, CAST(pos AS INTEGER) AS keyword, round(sim, 4) AS sim FROM sims"
     ),

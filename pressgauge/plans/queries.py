@@ -18,6 +18,7 @@ from pressgauge.operators import (
     entities,
     funnel,
     ids,
+    keyword_blocks,
     profile,
     relevance,
     report,
@@ -261,6 +262,16 @@ def topic_similarity(spark: SparkSession, sf: str) -> DataFrame:
     return _scores(spark, sf)
 
 
+@query
+def topic_similarity_many(spark: SparkSession, sf: str) -> DataFrame:
+    """Similarity to a list of up to 2,000 keywords, the most frequent words that have a vector."""
+    ship_package(spark)
+    vectors = cut_lineage(b.vectors(spark, sf), "vectors")
+    keywords = vectors.filter(F.col("rank") < 2_000).select(F.col("word").alias("keyword"))
+    docs = b.table(spark, sf, "documents").select("doc_id", "text")
+    return keyword_blocks.similarity_to_many(docs, "doc_id", "text", keywords, vectors, b.STOP_WORDS)
+
+
 @query
 def single_keyword_similarity(spark: SparkSession, sf: str) -> DataFrame:
     return _scores(spark, sf, b.KEYWORDS[2:3])
