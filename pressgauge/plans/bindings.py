@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pressgauge.functions.text import clean_whitespace, content_hash, host_of_link, join_authors, words
 from pressgauge.operators.entities import rule_entities
 from pressgauge.operators.ids import assign_ids
+from pressgauge.session import cut_lineage
 
 # Fixed values of the binding.
 KEYWORDS = ("mente", "thing", "nicht", "ément", "ertion", "ciónas", "erung", "étion")
@@ -94,11 +95,14 @@ def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(rank, word, vec): the word of rank r carries embedding r, as in a vector file."""
+    """(rank, word, vec): the word of rank r carries embedding r, as in a vector file.
+
+    A written table: the vocabulary is counted over all texts, and most queries read the vectors more than once.
+    """
     numbered = table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("rank"), F.col("embedding").alias("vec")
     )
-    return vocabulary(spark, sf_dir).join(numbered, "rank").select("rank", "word", "vec")
+    return cut_lineage(vocabulary(spark, sf_dir).join(numbered, "rank").select("rank", "word", "vec"), "vectors")
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:

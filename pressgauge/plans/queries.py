@@ -266,7 +266,7 @@ def topic_similarity(spark: SparkSession, sf: str) -> DataFrame:
 def topic_similarity_many(spark: SparkSession, sf: str) -> DataFrame:
     """Similarity to a list of up to 2,000 keywords, the most frequent words that have a vector."""
     ship_package(spark)
-    vectors = cut_lineage(b.vectors(spark, sf), "vectors")
+    vectors = b.vectors(spark, sf)
     keywords = vectors.filter(F.col("rank") < 2_000).select(F.col("word").alias("keyword"))
     docs = b.table(spark, sf, "documents").select("doc_id", "text")
     return keyword_blocks.similarity_to_many(docs, "doc_id", "text", keywords, vectors, b.STOP_WORDS)
@@ -367,7 +367,7 @@ def _extract(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
         b.dated_pages(spark, sf),
         b.portals(spark, sf),
         b.URL_KEYWORDS,
-        cut_lineage(b.vectors(spark, sf), "vectors"),
+        b.vectors(spark, sf),
         "feeds",
         b.RUN_STAMP,
         threshold=0.2,
@@ -431,10 +431,10 @@ def entities_gazetteer(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _consolidated(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Articles without copies and their entities; the entities are found once and written, whatever a report reads of them."""
     articles = dedupe.consolidate_news(b.news(spark, sf))
-    return articles, dedupe.consolidate_entities(
-        store.entities_of(b.entities(spark, sf), articles)
-    )
+    found = cut_lineage(b.entities(spark, sf), "entities")
+    return articles, dedupe.consolidate_entities(store.entities_of(found, articles))
 
 
 @query
@@ -692,7 +692,7 @@ def landed_articles(spark: SparkSession, sf: str) -> DataFrame:
 def _settings(spark: SparkSession, sf: str) -> Settings:
     return Settings(
         b.KEYWORDS,
-        cut_lineage(b.vectors(spark, sf), "vectors"),
+        b.vectors(spark, sf),
         b.DIM,
         b.STOP_WORDS,
         summarize=partial(summarize.extractive_summary, stop_words=b.STOP_WORDS),
