@@ -658,23 +658,13 @@ def topic_facts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _raw_news(articles: DataFrame) -> DataFrame:
-    stamp = F.concat(F.date_format("date_extract", "yyyy-MM-dd"), F.lit(" 10:00:00"))
-    return articles.select(
-        stamp.alias("date_extract"),
-        F.date_format("date_article", "yyyy-MM-dd").alias("date_article"),
-        "topic",
-        "content",
-        "link",
-        F.lit(0.5).alias("link_sim_score"),
-        "title",
-        "summary",
-        "authors",
-        "portal",
-        "state",
-        "city",
-        "content_hash",
-        "content_nchar",
-    )
+    """Stored articles as a landing file has them."""
+    own = {
+        "date_extract": F.concat(F.date_format("date_extract", "yyyy-MM-dd"), F.lit(" 10:00:00")),
+        "date_article": F.date_format("date_article", "yyyy-MM-dd"),
+        "link_sim_score": F.lit(0.5),
+    }
+    return articles.withColumns(own).select(*schemas.RAW_NEWS.names)
 
 
 @query

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -67,7 +68,7 @@ def shared_dir(spark: SparkSession) -> str:
     )
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError(f"{CHECKPOINT_CONF} must name a folder shared by all executors")
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
