@@ -40,7 +40,9 @@ LOCAL_SUPPORT = 5
 FILTER_BITS = 26
 #: A task hands its counts on beyond this many entries.
 TASK_ENTRIES = 2_000_000
-_SHARD_BITS = 8
+#: And of whole phrases beyond this many.
+HELD_PHRASES = 800_000
+_SHARD_BITS = 16
 
 # What ends a piece, and what ends a word inside one.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -127,8 +129,27 @@ def _table(frequent: DataFrame, shards: int, filter_bits: int) -> Broadcast:
     return frequent.sparkSession.sparkContext.broadcast(_Table(bits, filter_bits))
 
 
-def _mined(docs: DataFrame, k: int, parts: Broadcast | None, shards: int) -> DataFrame:
-    """(key, n, need_0, ...): phrases of ``k`` words per shard whose parts are frequent in it, as counted by each task."""
+_CODEC = pa.Codec("zstd", compression_level=1)
+
+
+def _packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted keys and their counts: steps from key to key by bytes of equal weight, most of which are zero, then the counts likewise."""
+    steps = np.diff(keys, prepend=np.uint64(0))
+    planes = [np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T) for x in (steps, counts)]
+    return _CODEC.compress(b"".join(p.tobytes() for p in planes), asbytes=True)
+
+
+def _unpacked(data: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(_CODEC.decompress(data, 16 * n, asbytes=True), np.uint8).reshape(2, 8, n)
+    steps, counts = (np.ascontiguousarray(x.T).view("<u8").ravel() for x in raw)
+    return np.cumsum(steps, dtype=np.uint64), counts.astype(np.int64)
+
+
+def _mined(docs: DataFrame, k: int, parts: Broadcast | None, shards: int, ranges: int) -> DataFrame:
+    """(range, size, packed, need_0, ...): phrases of ``k`` words per shard whose parts are frequent in it, as each task counted them.
+
+    A task hands on one sorted array for each range of hashes.
+    """
     needs = [f"need_{i}" for i in range(shards)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,8 +159,15 @@ def _mined(docs: DataFrame, k: int, parts: Broadcast | None, shards: int) -> Dat
         def hand_on() -> Iterator[pa.RecordBatch]:
             for need, some in held.items():
                 keys, counts = _tally(np.concatenate([a for a, _ in some]), np.concatenate([b for _, b in some]))
-                columns = [pa.array(np.full(len(keys), n, np.int64)) for n in need]
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts), *columns], names=["key", "n", *needs])
+                of = (keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
+                edges = np.searchsorted(of, np.arange(ranges + 1, dtype=np.uint64)).tolist()
+                rows = [(i, b - a, _packed(keys[a:b], counts[a:b])) for i, (a, b) in enumerate(zip(edges, edges[1:])) if b > a]
+                if rows:
+                    number, size, packed = zip(*rows)
+                    columns = [pa.array([n] * len(rows), pa.int64()) for n in need]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(number, pa.int32()), pa.array(size, pa.int64()), pa.array(packed, pa.binary()), *columns], names=["range", "size", "packed", *needs]
+                    )
             held.clear()
 
         for batch in batches:
@@ -166,21 +194,35 @@ def _mined(docs: DataFrame, k: int, parts: Broadcast | None, shards: int) -> Dat
                     entries = 0
         yield from hand_on()
 
-    schema = ", ".join(f"{c} bigint" for c in ["key", "n", *needs])
+    schema = "range int, size bigint, packed binary, " + ", ".join(f"{c} bigint" for c in needs)
     return docs.select("text", "lang_hash", "shard", *needs).mapInArrow(run, schema)
 
 
 def _possible(mined: DataFrame, shards: int, support: int) -> DataFrame:
-    """(base, in_shards): hashes that are frequent in some shard, with these shards, and may have ``support`` in all."""
-    low = F.lit((1 << _SHARD_BITS) - 1)
-    base, shard = F.col("key").bitwiseAND(~((1 << _SHARD_BITS) - 1)), F.col("key").bitwiseAND(low)
-    sums = [F.coalesce(F.sum(F.when(shard == i, F.col("n"))), F.lit(0)).alias(f"n_{i}") for i in range(shards)]
-    each = mined.groupBy(base.alias("base")).agg(*sums, *[F.min(f"need_{i}").alias(f"need_{i}") for i in range(shards)])
-    most = sum((F.when(F.col(f"n_{i}") > 0, F.col(f"n_{i}")).otherwise(F.col(f"need_{i}") - 1) for i in range(shards)), F.lit(0))
-    frequent = [F.when(F.col(f"n_{i}") >= F.col(f"need_{i}"), F.lit(i)) for i in range(shards)]
-    return each.select("base", F.array_compact(F.array(*frequent)).alias("in_shards"), most.alias("most")).filter(
-        (F.size("in_shards") > 0) & (F.col("most") >= support)
-    )
+    """(base, in_shards): hashes that are frequent in some shard, with these shards, and may have ``support`` in all.
+
+    A range's arrays of all tasks are added up in one task; ranges are as many as shuffle partitions, and hashes fill them evenly.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        low = np.uint64((1 << _SHARD_BITS) - 1)
+        sizes = table.column("size").to_pylist()
+        found = [_unpacked(data, n) for data, n in zip(table.column("packed").to_pylist(), sizes)]
+        keys, counts = (np.concatenate(x) for x in zip(*found))
+        wanted = np.stack([np.repeat(table.column(f"need_{i}").to_numpy(), sizes) for i in range(shards)])
+        order = np.argsort(keys, kind="stable")
+        keys, counts, wanted = keys[order], counts[order], wanted[:, order]
+        base, shard = keys & ~low, (keys & low).astype(np.int64)
+        begins = np.flatnonzero(np.concatenate(([True], base[1:] != base[:-1])))
+        need = np.minimum.reduceat(wanted, begins, axis=1)
+        n = np.stack([np.add.reduceat(np.where(shard == i, counts, 0), begins) for i in range(shards)])
+        most = np.where(n > 0, n, need - 1).sum(axis=0)
+        frequent = n >= need
+        kept = np.flatnonzero(frequent.any(axis=0) & (most >= support))
+        inside = [np.flatnonzero(frequent[:, i]).tolist() for i in kept]
+        return pa.table({"base": pa.array(base[begins][kept].view(np.int64)), "in_shards": pa.array(inside, pa.list_(pa.int32()))})
+
+    return mined.groupBy("range").applyInArrow(run, "base bigint, in_shards array<int>")
 
 
 def _counted(docs: DataFrame, tables: list[Broadcast]) -> DataFrame:
@@ -189,16 +231,17 @@ def _counted(docs: DataFrame, tables: list[Broadcast]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Counter] = {}
 
-        def hand_on() -> Iterator[pa.RecordBatch]:
+        def hand_on(most: float) -> Iterator[pa.RecordBatch]:
+            """Entries with at most so many occurrences; the others are likely to come again and stay."""
             for lang, counts in held.items():
-                phrases, n = list(counts), list(counts.values())
+                phrases = [p for p, n in counts.items() if n <= most]
+                n = [counts.pop(p) for p in phrases]
                 for at in range(0, len(phrases), 100_000):
                     some = phrases[at : at + 100_000]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([lang] * len(some), pa.string()), pa.array(some, pa.binary()).cast(pa.string()), pa.array(n[at : at + 100_000], pa.int64())],
                         names=["lang", "phrase", "n"],
                     )
-            held.clear()
 
         for batch in batches:
             texts, langs = utf8(batch.column(0)), batch.column(2).to_pylist()
@@ -224,9 +267,11 @@ def _counted(docs: DataFrame, tables: list[Broadcast]) -> DataFrame:
                         counts.update(map(data.__getitem__, map(slice, starts[some].tolist(), ends[some + k - 1].tolist())))
                         some = at[mine & ~simple]
                         counts.update(b" ".join(data[x:y].split()) for x, y in zip(starts[some].tolist(), ends[some + k - 1].tolist()))
-                if sum(map(len, held.values())) > TASK_ENTRIES // 4:
-                    yield from hand_on()
-        yield from hand_on()
+                if sum(map(len, held.values())) > HELD_PHRASES:
+                    yield from hand_on(1)
+                    if sum(map(len, held.values())) > HELD_PHRASES // 2:
+                        yield from hand_on(np.inf)
+        yield from hand_on(np.inf)
 
     return docs.select("text", "lang_hash", "lang").mapInArrow(run, "lang string, phrase string, n bigint").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
@@ -252,9 +297,10 @@ def phrase_counts(
     sizes = rows.groupBy("lang", "shard").agg(F.sum(F.regexp_count("text", F.lit(WORD))).alias("n_words"), F.count(F.lit(1)).alias("n_docs"))
     needs = settle(_needs(sizes, shards, support), "needs")
     wide = group_join(rows, needs.drop("n"), "lang", "n_docs")
+    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tables: list[Broadcast] = []
     for k in range(1, most_words + 1):
-        mined = _mined(wide, k, tables[-1] if tables else None, shards)
+        mined = _mined(wide, k, tables[-1] if tables else None, shards, ranges)
         tables.append(_table(_possible(mined, shards, support), shards, filter_bits))
     counts = cut_lineage(_counted(rows, tables).filter(F.col("n") >= support), "phrases")
     return counts, needs.select("lang", "n")

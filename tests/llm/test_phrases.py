@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from pressgauge.llm import phrases
@@ -69,6 +70,7 @@ def test_collocations(spark, seed, support, most, covered, top, bits, shards):
 
 def test_tasks_hand_on_in_parts(spark, monkeypatch):
     monkeypatch.setattr(phrases, "TASK_ENTRIES", 40)
+    monkeypatch.setattr(phrases, "HELD_PHRASES", 10)
     monkeypatch.setattr(phrases, "pieces", lambda texts: ((i, i + 1) for i in range(len(texts))))
     rows = sample(6, 60)
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
@@ -95,3 +97,12 @@ def test_exact_beyond_64_bits(spark):
         "(cast(1000000 as decimal(8,0)) * cast(a as decimal(15,0)) * cast(a as decimal(15,0))) div (cast(l as decimal(19,0)) * cast(r as decimal(19,0))) s"
     ).first()["s"]
     assert score == 1_000_000 * a * a // (left * right)
+
+
+def test_packed_arrays_come_back():
+    rng = np.random.default_rng(1)
+    for n in (1, 7, 5000):
+        keys = np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64) >> np.uint64(rng.integers(0, 3)))
+        counts = rng.integers(1, 1 << 40, len(keys))
+        back = phrases._unpacked(phrases._packed(keys, counts), len(keys))
+        assert (back[0] == keys).all() and (back[1] == counts).all()
