@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +12,8 @@ from pressgauge.functions.binding import let
 
 CHUNK_SIZE = 400
 CHUNK_OVERLAP = 60
+#: Characters of text whose chunks are Python objects at once.
+CHARACTERS = 1 << 20
 
 
 def fixed_chunks(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> Column:
@@ -88,13 +90,24 @@ def word_chunks(text: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERL
 
     Where a chunk starts depends on where the previous one ended, which no built-in
     expresses in linear time; texts travel to Python in Arrow batches, row by row
-    independent, so there is no shuffle.
+    independent, so there is no shuffle. Of a batch, the chunks of ``CHARACTERS`` of text
+    at a time are Python objects.
     """
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("chunk", pa.string())]))
 
-    @F.pandas_udf("array<struct<start:int,chunk:string>>")
-    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<struct<start:int,chunk:string>>")
+    def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield texts.map(lambda t: None if t is None else _cut_at_words(t, size, overlap))
+            done, rows, held = [], [], 0
+            for text in texts:
+                text = text.as_py()
+                rows.append(None if text is None else _cut_at_words(text, size, overlap))
+                held += len(text or "")
+                if held > CHARACTERS:
+                    done.append(pa.array(rows, kind))
+                    rows, held = [], 0
+            done.append(pa.array(rows, kind))
+            yield pa.concat_arrays(done)
 
     return cut(text)
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pressgauge.functions.text import spaced_words, words
-from pressgauge.operators import embed, keyword_blocks, relevance, word_groups
+from pressgauge.operators import chunks, embed, entities, keyword_blocks, relevance, word_groups
 
 
 def cosine(a, b):
@@ -90,3 +90,27 @@ def test_spaced_words_are_the_words(spark):
         for w in r["a"] or ():
             want[w] = want.get(w, 0) + 1
     assert counted == want
+
+
+def test_gazetteer_runs_in_groups(spark, group_bytes):
+    """Only runs of words that stand in names are made, the others are not even looked up."""
+    texts = [(1, "Ana Paz, Ana Paz Ruiz y Ana."), (2, None), (3, "Paz Ana ana Ruiz"), (3, "Ruiz Ana -- Paz"), (None, "Ana_Paz Ana  Paz")]
+    names = [("Ana Paz", "PER", 1.0), ("Ruiz", "LOC", 0.5), ("Ruiz", "PER", 0.4), ("Ana Paz Ruiz", "PER", 1.0), ("y  Ana", "PER", 1.0), (None, "PER", 1.0)]
+    df = spark.createDataFrame(texts, "index int, content string").repartition(2)
+    gazetteer = spark.createDataFrame(names, "word string, entity_group string, score double")
+    got = entities.gazetteer_entities(df, "content", gazetteer).collect()
+    want = [
+        (1, "PER", 1.0, "Ana Paz", 0, 7), (1, "PER", 1.0, "Ana Paz", 9, 16), (1, "PER", 1.0, "Ana Paz Ruiz", 9, 21),
+        (1, "LOC", 0.5, "Ruiz", 17, 21), (1, "PER", 0.4, "Ruiz", 17, 21), (3, "LOC", 0.5, "Ruiz", 12, 16), (3, "PER", 0.4, "Ruiz", 12, 16),
+        (3, "LOC", 0.5, "Ruiz", 0, 4), (3, "PER", 0.4, "Ruiz", 0, 4), (3, "PER", 1.0, "Ana Paz", 5, 15), (None, "PER", 1.0, "Ana Paz", 8, 15),
+    ]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
+def test_chunks_in_small_parts(spark, monkeypatch):
+    """A batch of 10,000 texts held all its chunks as Python objects."""
+    monkeypatch.setattr(chunks, "CHARACTERS", 300)
+    texts = [(i, None if i % 7 == 0 else "uno dos tres cuatro " * (i % 9)) for i in range(50)]
+    df = spark.createDataFrame(texts, "i int, t string").coalesce(1)
+    got = {r["i"]: r["c"] and [tuple(c) for c in r["c"]] for r in df.select("i", chunks.word_chunks(F.col("t"), 50, 10).alias("c")).collect()}
+    assert got == {i: None if t is None else [(c["start"], c["chunk"]) for c in chunks._cut_at_words(t, 50, 10)] for i, t in texts}
