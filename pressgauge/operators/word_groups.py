@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,6 +64,16 @@ def count_words(spaced: DataFrame) -> DataFrame:
     return part.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def row_groups(df: DataFrame, text: str) -> Column:
+    """A group number for the rows of ``df`` by the average length of their texts; it is to be written at once.
+
+    Rows lie together as they are read, so a group's words are combined in the task that has it.
+    """
+    total, count = df.agg(F.sum(F.octet_length(text)), F.count(F.lit(1))).first()
+    rows = max(1, count * GROUP_BYTES // max(1, total or 0))
+    return F.floor(F.monotonically_increasing_id() / F.lit(rows)).cast("bigint")
+
+
 def fold_runs(ufunc: np.ufunc, rows: np.ndarray, of: np.ndarray, places: np.ndarray, out: np.ndarray, words: int = WORDS) -> None:
     """Fold ``rows[places]`` into ``out`` by the texts ``of``, which ascend; so many words at once, however long a text is."""
     for a in range(0, len(of), words):
@@ -105,14 +115,12 @@ class WordGroups:
         """
         ship_package(df.sparkSession)
         plain = df.select(F.col(key).alias("_key"), spaced_words(F.col(text)).alias("_words"))
-        total, count = df.agg(F.sum(F.octet_length(text)), F.count(F.lit(1))).first()
-        size = max(1, total or 0)
         if together:
-            group = F.pmod(F.xxhash64("_key"), F.lit(-(-size // GROUP_BYTES)))
+            total = df.agg(F.sum(F.octet_length(text))).first()[0] or 1
+            group = F.pmod(F.xxhash64("_key"), F.lit(-(-total // GROUP_BYTES))).cast("bigint")
         else:
-            # Rows lie together as they were read, so a group's words are combined in the task that has it.
-            group = F.floor(F.monotonically_increasing_id() / F.lit(max(1, count * GROUP_BYTES // size)))
-        texts = cut_lineage(plain.withColumn("_group", group.cast("bigint")), "texts")
+            group = row_groups(df, text)
+        texts = cut_lineage(plain.withColumn("_group", group), "texts")
         found = texts.select("_group", "_words").mapInArrow(_group_words, "_of bigint, word string").distinct()
         known = lookup.filter(~F.col("word").isin("", *stop_words))
         return WordGroups(df.schema[key], texts, found.join(known, "word").select("_of", "word", "values"), together)
