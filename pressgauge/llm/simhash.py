@@ -29,6 +29,8 @@ MAX_BITS = 4
 SEGMENTS = 5
 WIDTH = 13  # bits of a segment; the last one has the 12 that are left
 _COUNT_AT_ONCE = 1 << 16
+#: More keys than this are not broadcast: each takes some 100 bytes in every executor.
+MAX_BROADCAST_KEYS = 2_000_000
 
 
 def fingerprint(text: bytes, words: int = SHINGLE_WORDS) -> int:
@@ -186,9 +188,14 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     key = F.col(names[id_col])
     keyed = rows.withColumn("key", F.struct(key.isNull().alias("none"), key.alias("id"), F.xxhash64(names[text_col]).alias("text")))
     groups = near_duplicates(keyed.select("key", names[text_col]), "key", names[text_col])
-    first = cut_lineage(
-        groups.filter(F.col("key") == F.col("component_id")).groupBy("key").agg(F.count(F.lit(1)).alias("times")), "firsts"
-    )
-    kept = skewed_join(keyed, first, "key", "inner")
+    marked = groups.groupBy("key").agg(F.count_if(F.col("key") == F.col("component_id")).alias("times"))
+    marked = cut_lineage(marked, "firsts")
+    # Most rows stay. Those that go and those that repeat are named by few keys, and then no text is shuffled to meet its own.
+    others = marked.filter("times != 1")
+    if others.count() <= MAX_BROADCAST_KEYS:
+        rest = keyed.join(F.broadcast(others), "key", "left_anti")
+        repeated = keyed.join(F.broadcast(others.filter("times > 1")), "key", "left_semi").dropDuplicates(["key"])
+        return named_back(rest.unionByName(repeated), names)
+    kept = skewed_join(keyed, marked.filter("times > 0"), "key", "inner")
     one = kept.filter("times = 1").unionByName(kept.filter("times > 1").dropDuplicates(["key"]))
     return named_back(one, names)
