@@ -123,9 +123,10 @@ def near_pairs(prints: DataFrame) -> DataFrame:
     four = F.when(place < 1, 4 * WIDTH).otherwise(4 * WIDTH - 1)
     chain = (differ(three) <= 2) & (differ(four) <= 3) & (F.bit_count(x) <= MAX_BITS)
     other = F.col("fp") != F.col("b")
-    left = index.withColumnRenamed("key", "key_a")
+    # Spark sizes a table that was exploded as before that: a few MB of fingerprints would be broadcast as many times their rows.
+    left = index.withColumnRenamed("key", "key_a").hint("merge")
     return left.join(
-        probe, (F.col("key_a") == F.col("key")) & other & chain, "inner"
+        probe.hint("merge"), (F.col("key_a") == F.col("key")) & other & chain, "inner"
     ).select(F.col("fp").alias("a"), "b")
 
 
