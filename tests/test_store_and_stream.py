@@ -1,14 +1,18 @@
 import datetime as dt
 import os
+from dataclasses import replace
+from functools import partial
 
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from pressgauge import schemas
+from pressgauge.operators.summarize import extractive_summary
 from pressgauge.plans.extract import extract_articles
 from pressgauge.plans.transform import Settings, transform_batch
 from pressgauge.plans.weekly import weekly_report, write_report
+from pressgauge.session import shared_dir
 from pressgauge.sources import catalog, landing
 from pressgauge.sources.store import ArticleStore, restore_types
 from pressgauge.streaming.ingest import ingest, requeue_quarantine
@@ -262,3 +266,27 @@ def test_extract(spark):
     got = news.collect()
     assert [(r["page_id"], r["state"], r["title"], r["authors"]) for r in got] == [(1, "Salta", "T & U", "n-a")]
     assert got[0]["content_nchar"] > 400
+
+
+def test_batch_leaves_no_tables_between_its_steps(spark, settings, tmp_path):
+    """A step's table goes when the next one is written; the rejected rows stay for the caller."""
+    before = set(os.listdir(shared_dir(spark)))
+    store = ArticleStore(spark, str(tmp_path / "s"))
+    broken = [("", "u7", "Salta", DAY1)]
+    added, rejected = transform_batch(raw(spark, FIRST + broken), store, settings, 0)
+    assert added == 2 and table(rejected, "link", "reason") == [("u7", "no content")]
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(shared_dir(spark))) - before}
+    assert left == {"rejected"}
+    assert [r[0] for r in table(store.live_news(), "index")] == [1, 2] and store.embeddings().count() == 2
+
+
+def test_summaries_by_row_equal_those_of_a_joined_summarizer(spark, settings, tmp_path):
+    def joined(df, key, text):
+        return extractive_summary(df, key, text, stop_words=("la",))
+
+    found = []
+    for name, summarize in (("a", joined), ("b", partial(extractive_summary, stop_words=("la",)))):
+        store = ArticleStore(spark, str(tmp_path / name))
+        transform_batch(raw(spark, FIRST + SECOND), store, replace(settings, summarize=summarize), 0)
+        found.append(table(store.live_news(), *schemas.NEWS.names))
+    assert found[0] == found[1] and len(found[0]) == 3
